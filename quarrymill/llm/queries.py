@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quarrymill.llm.knn import nearest_pairs
+from quarrymill.llm.language import corpus_language, language_cases
 from quarrymill.llm.near_edit import near_edit_pairs
+from quarrymill.llm.split import oversized
 from quarrymill.session import table
 
 
@@ -14,8 +17,37 @@ def p1_found(spark: SparkSession, root: str) -> DataFrame:
     return near_edit_pairs(table(spark, root, "embedding_records"), threshold=0.7, least_words=30)
 
 
+def p2_found(spark: SparkSession, root: str) -> DataFrame:
+    return nearest_pairs(table(spark, root, "embedding_records"))
+
+
+def p5_found(spark: SparkSession, root: str) -> DataFrame:
+    return p5_pieces(spark, root).where("piece_no = 1").select("row_id")
+
+
+def p5_pieces(spark: SparkSession, root: str) -> DataFrame:
+    return oversized(table(spark, root, "embedding_records"))
+
+
+def p6_found(spark: SparkSession, root: str) -> DataFrame:
+    return language_cases(p6_segments(spark, root))
+
+
+def p6_segments(spark: SparkSession, root: str) -> DataFrame:
+    return corpus_language(spark, table(spark, root, "embedding_records"), table(spark, root, "mbzuai_preprod_answer_completeness_v1"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
+    "p2_found": p2_found,
+    "p5_found": p5_found,
+    "p5_pieces": p5_pieces,
+    "p6_found": p6_found,
+    "p6_segments": p6_segments,
 }
 
-ORACLES: dict[str, str] = {}
+_WORDS = r"regexp_extract_all(lower({}), '[\p{{L}}\p{{N}}]+')"
+
+ORACLES: dict[str, str] = {
+    "p5_found": f"SELECT row_id FROM embedding_records WHERE len({_WORDS.format('retrieval_text')}) > 650",
+}
