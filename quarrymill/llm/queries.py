@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quarrymill.llm.boilerplate import page_bodies, page_boilerplate
 from quarrymill.llm.knn import nearest_pairs
 from quarrymill.llm.language import corpus_language, language_cases
 from quarrymill.llm.near_edit import near_edit_pairs
@@ -37,6 +38,14 @@ def p6_segments(spark: SparkSession, root: str) -> DataFrame:
     return corpus_language(spark, table(spark, root, "embedding_records"), table(spark, root, "mbzuai_preprod_answer_completeness_v1"))
 
 
+def p7_found(spark: SparkSession, root: str) -> DataFrame:
+    return page_boilerplate(table(spark, root, "embedding_records"))
+
+
+def p7_bodies(spark: SparkSession, root: str) -> DataFrame:
+    return page_bodies(table(spark, root, "embedding_records"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p2_found": p2_found,
@@ -44,6 +53,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p5_pieces": p5_pieces,
     "p6_found": p6_found,
     "p6_segments": p6_segments,
+    "p7_bodies": p7_bodies,
+    "p7_found": p7_found,
 }
 
 _WORDS = r"regexp_extract_all(lower({}), '[\p{{L}}\p{{N}}]+')"
