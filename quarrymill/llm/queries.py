@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from quarrymill.llm.boilerplate import page_bodies, page_boilerplate
 from quarrymill.llm.knn import nearest_pairs
 from quarrymill.llm.language import corpus_language, language_cases
+from quarrymill.llm.leakage import leaked_items
+from quarrymill.llm.mixing import mix, mix_shares
 from quarrymill.llm.near_edit import near_edit_pairs
 from quarrymill.llm.split import oversized
 from quarrymill.session import table
@@ -46,6 +48,24 @@ def p7_bodies(spark: SparkSession, root: str) -> DataFrame:
     return page_bodies(table(spark, root, "embedding_records"))
 
 
+def p8_found(spark: SparkSession, root: str) -> DataFrame:
+    items = table(spark, root, "mbzuai_preprod_answer_completeness_v1")
+    return leaked_items(table(spark, root, "documents"), items, ["query", "reference_answer"]).select("doc_id", "item_id")
+
+
+def p8_passages(spark: SparkSession, root: str) -> DataFrame:
+    items = table(spark, root, "mbzuai_preprod_answer_completeness_v1")
+    return leaked_items(table(spark, root, "documents"), items, ["query", "reference_answer"], most_edits=2)
+
+
+def p9_mix(spark: SparkSession, root: str) -> DataFrame:
+    return mix(table(spark, root, "documents"), table(spark, root, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, root: str) -> DataFrame:
+    return mix_shares(p9_mix(spark, root), table(spark, root, "mix_targets"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p2_found": p2_found,
@@ -55,6 +75,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_segments": p6_segments,
     "p7_bodies": p7_bodies,
     "p7_found": p7_found,
+    "p8_found": p8_found,
+    "p8_passages": p8_passages,
+    "p9_mix": p9_mix,
+    "p9_shares": p9_shares,
 }
 
 _WORDS = r"regexp_extract_all(lower({}), '[\p{{L}}\p{{N}}]+')"
