@@ -12,6 +12,7 @@ from quarrymill.llm.language import corpus_language, language_cases
 from quarrymill.llm.leakage import leaked_items
 from quarrymill.llm.mixing import mix, mix_shares
 from quarrymill.llm.near_edit import near_edit_pairs
+from quarrymill.llm.pii import masked_documents, personal_spans
 from quarrymill.llm.split import oversized
 from quarrymill.session import table
 
@@ -66,6 +67,14 @@ def p9_shares(spark: SparkSession, root: str) -> DataFrame:
     return mix_shares(p9_mix(spark, root), table(spark, root, "mix_targets"))
 
 
+def p10_found(spark: SparkSession, root: str) -> DataFrame:
+    return personal_spans(table(spark, root, "documents")).select("doc_id", "kind", "val").distinct()
+
+
+def p10_masked(spark: SparkSession, root: str) -> DataFrame:
+    return masked_documents(table(spark, root, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p2_found": p2_found,
@@ -79,6 +88,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p8_passages": p8_passages,
     "p9_mix": p9_mix,
     "p9_shares": p9_shares,
+    "p10_found": p10_found,
+    "p10_masked": p10_masked,
 }
 
 _WORDS = r"regexp_extract_all(lower({}), '[\p{{L}}\p{{N}}]+')"
