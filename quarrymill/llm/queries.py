@@ -13,6 +13,7 @@ from quarrymill.llm.leakage import leaked_items
 from quarrymill.llm.mixing import mix, mix_shares
 from quarrymill.llm.near_edit import near_edit_pairs
 from quarrymill.llm.pii import masked_documents, personal_spans
+from quarrymill.llm.residue import indexable, residue_values
 from quarrymill.llm.split import oversized
 from quarrymill.session import table
 
@@ -25,6 +26,14 @@ def p2_found(spark: SparkSession, root: str) -> DataFrame:
     return nearest_pairs(table(spark, root, "embedding_records"))
 
 
+def p3_found(spark: SparkSession, root: str) -> DataFrame:
+    return residue_values(table(spark, root, "media"))
+
+
+def p3_indexable(spark: SparkSession, root: str) -> DataFrame:
+    return indexable(table(spark, root, "media")).select("id", "media_type", "url", "caption", "description", "document_id", "source_url")
+
+
 def p5_found(spark: SparkSession, root: str) -> DataFrame:
     return p5_pieces(spark, root).where("piece_no = 1").select("row_id")
 
@@ -78,6 +87,8 @@ def p10_masked(spark: SparkSession, root: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p2_found": p2_found,
+    "p3_found": p3_found,
+    "p3_indexable": p3_indexable,
     "p5_found": p5_found,
     "p5_pieces": p5_pieces,
     "p6_found": p6_found,
