@@ -5,7 +5,7 @@ the only use of a sample: it sets the rotations, every vector is indexed). The s
 The codes are split into substrings of `bits` bits, and each substring is an index of its own. Two codes that
 differ in fewer bits than there are substrings share one for certain (pigeonhole); beyond that radius the number
 of substrings is chosen so that a pair at `min_cosine` shares one with probability `recall`. Pairs of a bucket are compared
-by the Hamming distance of the first 128 code bits; survivors are reranked by the cosine of their floats.
+by the Hamming distance of their first three code words; survivors are reranked by the cosine of their floats.
 
 The substring length follows the number of vectors (`bucket_rows` vectors to a bucket beyond the least length), so that the work at a bucket stays bounded.
 Equal vectors are folded into one before indexing.
@@ -27,6 +27,8 @@ from quarrymill.session import durable, parallelism
 FIT_ROWS = 5_000
 LEAST_BITS = 12
 BUCKET_ROWS = 256
+#: Code words that travel with a row to its buckets; with two, ten times as many pairs had to be reranked.
+COMPARED_WORDS = 3
 HOT_ROWS = 20_000
 SAMPLE = 0.05
 
@@ -75,12 +77,12 @@ def plan(rows: int, min_cosine: float, recall: float) -> tuple[int, int]:
     return bits, math.ceil(math.log(1 - recall) / math.log(1 - share))
 
 
-def _indexed(rotations: np.ndarray, bits: int, tables: int, size: int):
+def _coded(rotations: np.ndarray, bits: int, size: int):
+    """Code words of each usable vector; a word holds as many whole substrings as fit into 64 bits."""
     import xxhash
 
-    per = size // bits
-    weights = 1 << np.arange(bits, dtype=np.int64)
-    byte = 1 << np.arange(64, dtype=np.uint64)
+    per = 64 // bits
+    weights = np.uint64(1) << np.arange(per * bits, dtype=np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -88,23 +90,17 @@ def _indexed(rotations: np.ndarray, bits: int, tables: int, size: int):
             if not len(at):
                 continue
             b = code_bits(values, rotations)
-            words = [(b[:, 64 * w : 64 * w + 64] * byte[: min(64, b.shape[1] - 64 * w)]).sum(axis=1).astype(np.uint64).view(np.int64) for w in (0, 1)]
-            buckets = np.empty((len(at), tables), dtype=np.int64)
-            for t in range(tables):
-                first = (t // per) * size + (t % per) * bits
-                buckets[:, t] = (b[:, first : first + bits] @ weights) + (t << bits)
-            flat = values.astype(np.float32)
-            digests = [xxhash.xxh3_128_digest(x.tobytes()) for x in flat]
-            offsets = np.arange(0, buckets.size + 1, tables, dtype=np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(at)), pa.array(digests, pa.binary()), pa.array(words[0]), pa.array(words[1]), pa.ListArray.from_arrays(offsets, pa.array(buckets.astype(np.int32).ravel()))],
-                ["row_key", "digest", "w0", "w1", "buckets"],
-            )
+            words = []
+            for first in range(0, b.shape[1], per * bits):
+                part = b[:, first : first + per * bits]
+                words.append(pa.array((part * weights[: part.shape[1]]).sum(axis=1, dtype=np.uint64).view(np.int64)))
+            digests = [xxhash.xxh3_128_digest(x.tobytes()) for x in values.astype(np.float32)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array(digests, pa.binary()), *words], ["row_key", "digest", *(f"w{n}" for n in range(len(words)))])
 
     return run
 
 
-def _radius(min_cosine: float, bits: int = 128, spread: float = 3.2) -> int:
+def _radius(min_cosine: float, bits: int, spread: float = 2.6) -> int:
     p = math.acos(min_cosine) / math.pi
     return math.ceil(bits * p + spread * math.sqrt(bits * p * (1 - p)))
 
@@ -135,21 +131,26 @@ def nearest_pairs(records: DataFrame, key: str = "row_id", vector: str = "embedd
     fit = base.where(F.size("vector") == size).sample(min(1.0, 3 * FIT_ROWS / max(1, rows)), seed=3).limit(FIT_ROWS).select("row_key", "vector").toArrow()
     sample = [usable(b, "vector", size)[1] for b in fit.to_batches()]
     sample = np.concatenate(sample) if sample else np.zeros((0, size))
-    rotations = learn_rotations(unit(sample) if len(sample) else sample, max(2, math.ceil(tables / (size // bits))))
-    coded = durable(base.mapInArrow(_indexed(rotations, bits, tables, size), "row_key bigint, digest binary, w0 bigint, w1 bigint, buckets array<int>"))
-    folded = durable(_fold(coded, k))
-    exploded = lambda t: t.select(F.explode(F.col("buckets").cast("array<bigint>")).alias("bucket"), "id", "w0", "w1")
+    rotations = learn_rotations(unit(sample) if len(sample) else sample, math.ceil(tables * bits / size))[:, : tables * bits]
+    per = 64 // bits
+    words = [f"w{n}" for n in range(math.ceil(tables / per))]
+    coded = durable(base.mapInArrow(_coded(rotations, bits, size), "row_key bigint, digest binary, " + ", ".join(f"{w} bigint" for w in words)))
+    folded = durable(_fold(coded, words, k))
+
+    def exploded(t: DataFrame) -> DataFrame:
+        cut = [F.shiftrightunsigned(words[n // per], bits * (n % per)).bitwiseAND(F.lit((1 << bits) - 1)) + F.lit(n << bits) for n in range(tables)]
+        return t.select(F.explode(F.array(*cut)).alias("bucket"), "id", *words[:COMPARED_WORDS])
+
     hot = durable(hot_buckets(exploded(folded.sample(SAMPLE, seed=7)), SAMPLE, HOT_ROWS))
     hot = hot if hot.head(1) else None
-    radius = _radius(min_cosine)
+    radius = _radius(min_cosine, min(tables, COMPARED_WORDS * per) * bits)
 
     def near(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-        d = np.bitwise_count((left[0] ^ right[0]).view(np.uint64)) + np.bitwise_count((left[1] ^ right[1]).view(np.uint64))
-        return d <= radius
+        return sum(np.bitwise_count((x ^ y).view(np.uint64)) for x, y in zip(left, right)) <= radius
 
     pairs = durable(compare_buckets(exploded(folded), near, parallelism(spark, 12), hot))
     wanted = pairs.select(F.col("a").alias("row_key")).union(pairs.select(F.col("b").alias("row_key"))).distinct()
-    vectors = base.join(wanted, "row_key", "left_semi")
+    vectors = durable(base.join(wanted, "row_key", "left_semi"))
     scored = (
         pairs.join(vectors.select(F.col("row_key").alias("a"), F.col("vector").alias("va")), "a").join(vectors.select(F.col("row_key").alias("b"), F.col("vector").alias("vb")), "b")
         .select("a", "b", "va", "vb").mapInArrow(_reranked(size), "a bigint, b bigint, cosine double").where(F.col("cosine") >= min_cosine)
@@ -168,11 +169,11 @@ def nearest_pairs(records: DataFrame, key: str = "row_id", vector: str = "embedd
     return mine.select(F.least("row_key", "n.m").alias(f"{key}_a"), F.greatest("row_key", "n.m").alias(f"{key}_b")).distinct()
 
 
-def _fold(coded: DataFrame, k: int) -> DataFrame:
+def _fold(coded: DataFrame, words: list[str], k: int) -> DataFrame:
     """One row for each distinct vector: its smallest key, its code and its k + 1 smallest keys.
 
     The keys are first cut to k + 1 within each digest by rank, so that a large group of copies is never gathered.
     """
-    ranked = coded.select("digest", "row_key").withColumn("r", F.row_number().over(Window.partitionBy("digest").orderBy("row_key"))).where(F.col("r") <= k + 1)
-    heads = ranked.groupBy("digest").agg(F.array_sort(F.collect_list("row_key")).alias("head")).withColumn("id", F.col("head")[0])
-    return heads.join(coded.select(F.col("row_key").alias("id"), "w0", "w1", "buckets"), "id").select("id", "digest", "w0", "w1", "buckets", "head")
+    ranked = coded.withColumn("r", F.row_number().over(Window.partitionBy("digest").orderBy("row_key"))).where(F.col("r") <= k + 1)
+    folded = ranked.groupBy("digest").agg(F.array_sort(F.collect_list("row_key")).alias("head"), *(F.max(F.when(F.col("r") == 1, F.col(w))).alias(w) for w in words))
+    return folded.select(F.col("head")[0].alias("id"), "digest", "head", *words)
