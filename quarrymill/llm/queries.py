@@ -12,6 +12,7 @@ from quarrymill.llm.language import corpus_language, language_cases
 from quarrymill.llm.leakage import leaked_items
 from quarrymill.llm.mixing import mix, mix_shares
 from quarrymill.llm.near_edit import near_edit_pairs
+from quarrymill.llm.ocr import page_defects, repaired_pages
 from quarrymill.llm.pii import masked_documents, personal_spans
 from quarrymill.llm.residue import indexable, residue_values
 from quarrymill.llm.split import oversized
@@ -34,6 +35,14 @@ def p3_indexable(spark: SparkSession, root: str) -> DataFrame:
     return indexable(table(spark, root, "media")).select("id", "media_type", "url", "caption", "description", "document_id", "source_url")
 
 
+def p4_found(spark: SparkSession, root: str) -> DataFrame:
+    return page_defects(table(spark, root, "corpus_merge_formatter"))
+
+
+def p4_repaired(spark: SparkSession, root: str) -> DataFrame:
+    return repaired_pages(table(spark, root, "corpus_merge_formatter"))
+
+
 def p5_found(spark: SparkSession, root: str) -> DataFrame:
     return p5_pieces(spark, root).where("piece_no = 1").select("row_id")
 
@@ -89,6 +98,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
     "p3_found": p3_found,
     "p3_indexable": p3_indexable,
+    "p4_found": p4_found,
+    "p4_repaired": p4_repaired,
     "p5_found": p5_found,
     "p5_pieces": p5_pieces,
     "p6_found": p6_found,
