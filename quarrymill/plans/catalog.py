@@ -8,3 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Registers a query under its function's name, with the DuckDB SQL of the same result if there is one."""
+
+    def register(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+from quarrymill.plans import corpus, evaluation, graphs, ranking  # noqa: E402, F401
