@@ -33,7 +33,7 @@ def token_estimate(c: Column) -> Column:
 def sentences(c: Column) -> Column:
     """Sentences of a text: cut after . ! ? before white space, and at line breaks; empty ones dropped."""
     marked = F.regexp_replace(F.coalesce(c, F.lit("")), r"([.!?؟])[ \t]+", "$1\n")
-    return F.filter(F.transform(F.split(marked, r"[\r\n]+"), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.split(marked, r"[\r\n]+"), lambda s: F.trim(s)), lambda s: s != "")
 
 
 def stable_id(length: int, *parts: Column) -> Column:
