@@ -78,7 +78,7 @@ def ranking_metrics(spark: SparkSession, root: str) -> DataFrame:
 
 @query(
     "WITH " + _RANKED_SQL + """, t AS (SELECT query_id, max(score) AS top, max(CASE WHEN rk.doc_id IN (SELECT doc_id FROM g WHERE g.query_id = rk.query_id) THEN 1 ELSE 0 END) AS good FROM rk GROUP BY 1), s AS (SELECT DISTINCT top FROM t),
- m AS (SELECT (top + lead(top) OVER (ORDER BY top)) / 2 AS cut FROM s) SELECT round(cut, 6) AS threshold, count(*) FILTER (WHERE good = 1 AND top >= cut) AS kept_good, count(*) FILTER (WHERE good = 0 AND top < cut) AS dropped_bad,
+ m AS (SELECT (top + lead(top) OVER (ORDER BY top)) / 2 AS cut FROM s) SELECT floor(cut * 1000000 + 0.5) / 1000000 AS threshold, count(*) FILTER (WHERE good = 1 AND top >= cut) AS kept_good, count(*) FILTER (WHERE good = 0 AND top < cut) AS dropped_bad,
  floor((count(*) FILTER (WHERE good = 1 AND top >= cut) / greatest(1, count(*) FILTER (WHERE good = 1)) + count(*) FILTER (WHERE good = 0 AND top < cut) / greatest(1, count(*) FILTER (WHERE good = 0))) / 2 * 1000000 + 0.5) / 1000000 AS balanced FROM m, t WHERE cut IS NOT NULL GROUP BY cut"""
 )
 def threshold_sweep(spark: SparkSession, root: str) -> DataFrame:
@@ -91,7 +91,7 @@ def threshold_sweep(spark: SparkSession, root: str) -> DataFrame:
     every = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     counted = by_score.select(((F.col("top") + F.lead("top").over(Window.orderBy("top"))) / 2).alias("cut"), F.sum("g").over(below).alias("low_good"), F.sum("b").over(below).alias("dropped_bad"), F.sum("g").over(every).alias("good"), F.sum("b").over(every).alias("bad"))
     kept = F.col("good") - F.col("low_good")
-    return counted.where("cut is not null").select(F.round("cut", 6).alias("threshold"), kept.alias("kept_good"), "dropped_bad", (F.floor((kept / F.greatest(F.lit(1), "good") + F.col("dropped_bad") / F.greatest(F.lit(1), "bad")) / 2 * 1_000_000 + 0.5) / 1_000_000).alias("balanced"))
+    return counted.where("cut is not null").select((F.floor(F.col("cut") * 1_000_000 + 0.5) / 1_000_000).alias("threshold"), kept.alias("kept_good"), "dropped_bad", (F.floor((kept / F.greatest(F.lit(1), "good") + F.col("dropped_bad") / F.greatest(F.lit(1), "bad")) / 2 * 1_000_000 + 0.5) / 1_000_000).alias("balanced"))
 
 
 _GATES = [("overall", "all", "mean_gold", 1.0, 5.0), ("query_type", "fact", "items", 10.0, None), ("query_type", "opinion", "items", 1.0, None), ("no_answer", "true", "items", 5.0, 60.0), ("source_type", "pdf", "mean_length", 200.0, None)]
