@@ -30,7 +30,7 @@ STATES = 24_000
 TRAIN_BYTES = 1_200_000
 #: Bits by which a sentence must be shorter in a second language, and its least number of letters.
 MARGIN_BITS = 25.0
-LEAST_LETTERS = 30
+LEAST_LETTERS = 20
 
 #: Codes and names of the five languages.
 LABELS = {
@@ -43,6 +43,8 @@ LABELS = {
 _CODE = {name: code for code, names in LABELS.items() for name in names}
 #: A full stop after a number ends a sentence only if the number is a year: "am 9. März" goes on.
 _SENTENCE = re.compile(r"\n+|(?:(?<=[^\d\s][.!?…؟])|(?<=\d\d\d\d\.)|(?<=\d[!?…؟]))[\"'”’»)\]]*\s+")
+#: What may count as a whole sentence: it ends like one, or is long.
+_WHOLE = re.compile(r"[.!?…؟;:][\"'”’»)\]*]*$|(?:\S+\s+){11}")
 _GAP = "\n" * ORDER
 
 
@@ -191,8 +193,8 @@ def classify(trees: Trees, texts: list[str | None]) -> list[list[tuple[str, str,
     for ss in split:
         bits = lengths[at : at + len(ss)]
         at += len(ss)
-        # a name in brackets or quotes is no sentence of its own
-        letters = np.array([_letters(s) if s[0] not in "([\"'«“„‘" else 0 for s in ss], dtype=np.int64)
+        # a name in brackets or quotes, a menu or a heading is no sentence of its own
+        letters = np.array([_letters(s) if s[0] not in "([\"'«“„‘" and _WHOLE.search(s) else 0 for s in ss], dtype=np.int64)
         if not letters.any():
             letters = np.array([_letters(s) for s in ss], dtype=np.int64)
         if not letters.any():
