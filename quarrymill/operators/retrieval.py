@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarrymill.functions.text import words
+from quarrymill.session import durable
 
 K1, B = 1.5, 0.75
 
@@ -49,14 +51,14 @@ def overlap_scores(docs: DataFrame, queries: DataFrame, least: int = 3) -> DataF
 def dense_top_k(items: DataFrame, queries: DataFrame, k: int, block: int = 4096) -> DataFrame:
     """(query_id, item_id, cosine): the k items nearest to each query, itself left out; ties to the smaller item.
 
-    items and queries have (id, vector). The stated queries meet all items in blocks: each block of queries is broadcast and every
-    partition of items keeps its own k best, so what is shuffled is k rows a query and partition.
+    items and queries have (id, vector). The stated queries meet all items in blocks of about `block` queries by a hash of their id: one block is broadcast at a time, and every
+    batch of items keeps its own k best, so what is shuffled is k rows a query and batch. With several blocks each block's result is kept before the next begins.
     """
     spark = items.sparkSession
-    asked = queries.select("id", "vector").toArrow()
+    blocks = max(1, -(-queries.count() // block))
     parts = []
-    for first in range(0, max(1, asked.num_rows), block):
-        part = asked.slice(first, block)
+    for n in range(blocks):
+        part = queries.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == n).select("id", "vector").toArrow()
         ids = part.column("id").to_numpy()
         vectors = np.array(part.column("vector").to_pylist(), dtype=np.float64)
         shared = spark.sparkContext.broadcast((ids, vectors))
@@ -79,11 +81,12 @@ def dense_top_k(items: DataFrame, queries: DataFrame, k: int, block: int = 4096)
                 ok = kept > -1.5
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, ok.sum(axis=1))), pa.array(other[order][ok]), pa.array(kept[ok])], ["query_id", "item_id", "cosine"])
 
-        parts.append(items.select("id", "vector").mapInArrow(run, "query_id bigint, item_id bigint, cosine double"))
-    found = parts[0]
-    for p in parts[1:]:
-        found = found.union(p)
-    return top_k(found, "query_id", "item_id", "cosine", k)
+        best = top_k(items.select("id", "vector").mapInArrow(run, "query_id bigint, item_id bigint, cosine double"), "query_id", "item_id", "cosine", k)
+        if blocks > 1:
+            best = durable(best)
+            shared.unpersist()
+        parts.append(best)
+    return reduce(DataFrame.union, parts)
 
 
 def fuse(lanes: list[DataFrame], k: int = 60) -> DataFrame:

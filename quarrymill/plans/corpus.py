@@ -63,11 +63,17 @@ def page_type_counts(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, "embedding_records").groupBy(U.host(u).alias("host"), U.page_type(u).alias("page_type"), F.coalesce(U.path_language(u), F.lit("none")).alias("path_language")).agg(F.count(F.lit(1)).alias("records"))
 
 
-@query("SELECT release_id, sha256(string_agg(url, chr(10) ORDER BY url)) AS digest, count(*) AS urls FROM (SELECT DISTINCT release_id, source_url AS url FROM embedding_records WHERE source_url IS NOT NULL AND lane = 'parents') GROUP BY release_id")
+@query(
+    """WITH u AS (SELECT DISTINCT release_id, source_url AS url FROM embedding_records WHERE source_url IS NOT NULL), b AS (SELECT release_id, substr(sha256(url), 1, 3) AS bucket, sha256(string_agg(url, chr(10) ORDER BY url)) AS digest, count(*) AS n FROM u GROUP BY 1, 2)
+ SELECT release_id, sha256(string_agg(digest, chr(10) ORDER BY bucket)) AS digest, CAST(sum(n) AS BIGINT) AS urls FROM b GROUP BY 1"""
+)
 def url_set_digest(spark: SparkSession, root: str) -> DataFrame:
-    urls = table(spark, root, "embedding_records").where("source_url is not null and lane = 'parents'").select("release_id", F.col("source_url").alias("url")).distinct()
-    listed = urls.groupBy("release_id").agg(F.array_sort(F.collect_set("url")).alias("u"))  # a digest of a set needs the whole set in order
-    return listed.select("release_id", F.sha2(F.array_join("u", "\n"), 256).alias("digest"), F.size("u").cast("bigint").alias("urls"))
+    """A digest of each release's set of URLs in two levels: 4,096 buckets by hash, so that no task holds a whole release."""
+    urls = table(spark, root, "embedding_records").where("source_url is not null").select("release_id", F.col("source_url").alias("url")).distinct()
+    buckets = urls.groupBy("release_id", F.substring(F.sha2("url", 256), 1, 3).alias("bucket")).agg(F.array_sort(F.collect_list("url")).alias("u"))
+    digests = buckets.select("release_id", F.struct("bucket", F.sha2(F.array_join("u", "\n"), 256).alias("digest")).alias("d"), F.size("u").alias("n"))
+    whole = digests.groupBy("release_id").agg(F.array_sort(F.collect_list("d")).alias("d"), F.sum("n").alias("urls"))  # at most 4,096 digests
+    return whole.select("release_id", F.sha2(F.array_join("d.digest", "\n"), 256).alias("digest"), "urls")
 
 
 @query(

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 def read_json_lines(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """(rows, bad): the parsed lines of a folder of JSON lines, and the lines (file, line) that are no JSON of that schema; blank lines are neither."""
-    read = spark.read.schema(f"{schema}, _bad string").option("columnNameOfCorruptRecord", "_bad").json(path).withColumn("_file", F.col("_metadata.file_path"))
-    names = [f.name for f in read.schema if f.name not in ("_bad", "_file")]
-    return read.where("_bad is null").select(*names), read.where("_bad is not null").select(F.col("_file").alias("file"), F.col("_bad").alias("line"))
+    raw = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value").where("trim(value) != ''")
+    parsed = raw.withColumn("r", F.from_json("value", f"{schema}, _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
+    names = [f.name for f in parsed.schema["r"].dataType.fields if f.name != "_bad"]
+    return parsed.where("r._bad is null").select(*(F.col(f"r.{n}") for n in names)), parsed.where("r._bad is not null").select("file", F.col("value").alias("line"))
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:
