@@ -31,7 +31,8 @@ def bm25(docs: DataFrame, queries: DataFrame) -> DataFrame:
     cut = docs.select("doc_id", words(F.col("text")).alias("w"))
     size = cut.agg(F.count(F.lit(1)).alias("n_docs"), F.avg(F.size("w")).alias("mean_len"))
     vocabulary = asked.select("term").distinct()
-    tf = cut.select("doc_id", F.size("w").alias("len"), F.explode("w").alias("term")).join(vocabulary, "term", "left_semi").groupBy("term", "doc_id", "len").agg(F.count(F.lit(1)).alias("tf"))
+    # kept, since both the frequencies and the scores need it: the texts are cut into words once here and once for the lengths
+    tf = durable(cut.select("doc_id", F.size("w").alias("len"), F.explode("w").alias("term")).join(vocabulary, "term", "left_semi").groupBy("term", "doc_id", "len").agg(F.count(F.lit(1)).alias("tf")))
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     weight = tf.join(df, "term").crossJoin(F.broadcast(size))  # one row
     idf = F.log1p((F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
