@@ -4,11 +4,12 @@ Pages are put in the order of host and path by a range sort, so that a page's ne
 host is gathered in one task. A page is aligned with the `NEIGHBOURS` pages before it by the longest common
 subsequence of lines. Lines that a pair shares are taken away from both pages. What stays, the long lines that no neighbour has,
 marks where the main body lies, and tells for each shared line whether it stands inside the body (a heading, a list
-item, a sentence that many pages have) or around it. Over all pairs this gives each widely shared line a profile; a line is
+item, a sentence that many pages have) or around it. Over all pairs of a host this gives each of its shared lines a profile; a line is
 deleted where its profile and its place say that it is no part of the body.
 
-Only lines on at least a share `LEAST_SHARE` of the pages are profiled. There are at most (lines per page) / LEAST_SHARE of them,
-which bounds what is broadcast.
+A host judges by its own pages: a line needs `LEAST_PAGES` different texts, however large the collection is, and is well known by its share of the host's
+pages. Where other hosts have the line too and the host saw it fewer than `EVIDENCE` times, the profile over all hosts stands in. Profiles are not
+broadcast: pages go in blocks of `BLOCK` neighbours, and each block is sent the profiles of its own lines.
 """
 
 from __future__ import annotations
@@ -26,12 +27,13 @@ from quarrymill.llm.common import texts_of
 from quarrymill.session import durable, parallelism
 
 NEIGHBOURS = 3
-LEAST_SHARE = 0.0003
 LEAST_PAGES = 4
+EVIDENCE = 100
+BLOCK = 256
 #: A shared line is part of bodies if it stands between a page's own long lines in this share of its places, a heading if it is marked as one in this share.
 INSIDE_SHARE = 0.28
 HEADING_SHARE = 0.1
-#: A line that so many texts have is no title that a few sidebars repeat.
+#: A line that so many of the host's texts have, or of those of all its hosts, is no title that a few sidebars repeat.
 STRONG_SHARE = 0.0035
 
 _BULLET = re.compile(r"^(?:[-*•–]|\d{1,3}[.)])\s+")
@@ -100,7 +102,7 @@ def aligned(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
 def _marks(keys: list[int], kinds: list[int], shared: set[int], common: set[int], tally: dict[int, list[int]]) -> None:
     """Adds to each shared line's profile: times shared, inside the body, before a long line of the page's own, as a marked heading.
 
-    A page's own long lines are those that neither the neighbour nor many other pages have.
+    A page's own long lines are those that neither the neighbour nor several other pages have.
     """
     own = [i for i, k in enumerate(kinds) if k == _PROSE_KIND and i not in shared and keys[i] not in common]
     if not own:
@@ -119,24 +121,29 @@ def _marks(keys: list[int], kinds: list[int], shared: set[int], common: set[int]
         row[3] += kinds[i] == _HEADING
 
 
-def _differenced(batches: Iterator[pa.RecordBatch], common: set[int]) -> Iterator[pa.RecordBatch]:
-    """Differencing along the order of URLs: partial profiles of the shared lines."""
-    past: list[tuple[str, bytes, list[int], list[int]]] = []
-    tally: dict[int, list[int]] = {}
+def _differenced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Differencing along the order of URLs: partial profiles of each host's shared lines."""
+    past: list[tuple[list[int], list[int]]] = []
+    tally: dict[str, dict[int, list[int]]] = {}
+    common: set[int] = set()
 
     def flush() -> pa.RecordBatch:
-        keys = np.fromiter(tally.keys(), np.int64, len(tally))
-        rows = np.array(list(tally.values()), dtype=np.int64).reshape(-1, 4)
+        hosts = [h for h, own in tally.items() for _ in own]
+        keys = np.array([k for own in tally.values() for k in own], dtype=np.int64)
+        rows = np.array([r for own in tally.values() for r in own.values()], dtype=np.int64).reshape(-1, 4)
         tally.clear()
-        return pa.RecordBatch.from_arrays([pa.array(keys), *(pa.array(rows[:, c]) for c in range(4))], ["line", "shared", "inside", "leads", "marked"])
+        return pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(keys), *(pa.array(rows[:, c]) for c in range(4))], ["host", "line", "shared", "inside", "leads", "marked"])
 
     for batch in batches:
-        for host, digest, keys, kinds in zip(texts_of(batch, "host"), texts_of(batch, "digest"), texts_of(batch, "keys"), texts_of(batch, "kinds")):
-            if past and past[-1][0] != host:
+        for place, host, keys, kinds, lines in zip(*(texts_of(batch, c) for c in ("place", "host", "keys", "kinds", "lines"))):
+            if place < 0:
+                common = set(lines)
                 past.clear()
-            if any(p[1] == digest for p in past):
-                continue  # a copy says nothing
-            for _, _, other, other_kinds in past:
+                continue
+            if not place:
+                past.clear()
+            own_tally = tally.setdefault(host, {})
+            for other, other_kinds in past:
                 i, j = aligned(keys, other)
                 if not i:
                     continue
@@ -144,63 +151,63 @@ def _differenced(batches: Iterator[pa.RecordBatch], common: set[int]) -> Iterato
                 own = sum(1 for x, k in enumerate(kinds) if k == _PROSE_KIND and x not in left)
                 both = sum(1 for x in i if kinds[x] == _PROSE_KIND)
                 if own > both:  # else it is an edited copy of the same page
-                    _marks(keys, kinds, left, common, tally)
-                    _marks(other, other_kinds, right, common, tally)
-            past.append((host, digest, keys, kinds))
+                    _marks(keys, kinds, left, common, own_tally)
+                    _marks(other, other_kinds, right, common, own_tally)
+            past.append((keys, kinds))
             if len(past) > NEIGHBOURS:
                 past.pop(0)
-        if len(tally) > 100_000:
+        if sum(map(len, tally.values())) > 100_000:
             yield flush()
     if tally:
         yield flush()
 
 
-class Profiles:
-    """What differencing says of the widely shared lines: rows of line, shared, inside, leads, marked, and texts with the line."""
-
-    def __init__(self, rows: list[tuple[int, int, int, int, int]], spread: dict[int, int], pages: int):
-        self.around: set[int] = set()  # stands around bodies
-        self.heading: set[int] = set()
-        self.within: set[int] = set()  # items and sentences of bodies
-        self.strong = {line for line, n in spread.items() if n >= STRONG_SHARE * pages}
-        for line, shared, inside, leads, marked in rows:
-            if marked >= HEADING_SHARE * shared:
-                self.heading.add(line)
-            elif inside >= INSIDE_SHARE * shared:
-                self.within.add(line)
-            else:
-                self.around.add(line)
+_HEADS, _WITHIN, _AROUND, _STRONG = 1, 2, 4, 8
 
 
-def foreign_lines(text: str | None, profiles: Profiles) -> list[int]:
-    """Numbers of the lines that are no part of the main body; none if the text is no web page.
+def foreign_lines(numbers: list[int], keys: list[int], kinds: list[int], menu: bool, known: dict[int, int]) -> list[int]:
+    """Numbers of the lines that are no part of the main body; none if the text is no web page. `known` has the profiles of the host's lines.
 
     A text is a web page if it has a line that stands around bodies elsewhere. A first line before a heading may be a
-    title, which sidebars of other pages may repeat; alone it makes a page only if very many texts have it.
+    title, which sidebars of other pages may repeat; alone it makes a page only if very many texts have it or it is a `menu`.
     """
-    numbers, keys, kinds = page_lines(text)
     n = len(keys)
-    around = [k in profiles.around and kind != _META for k, kind in zip(keys, kinds)]
-    if not any(around[1:]) and not (n and around[0] and (keys[0] in profiles.strong or _MENU.search(text.split("\n")[numbers[0] - 1]))):
+    flags = [known.get(k, 0) for k in keys]
+    around = [bool(f & _AROUND) and kind != _META for f, kind in zip(flags, kinds)]
+    strong = [bool(f & _STRONG) for f in flags]
+    item = [bool(f & _WITHIN and f & _STRONG) for f in flags]
+    if not any(around[1:]) and not (n and around[0] and (strong[0] or menu)):
         return []
     body = [False] * n
-    for i in range(n):
-        k, kind = keys[i], kinds[i]
+    for i, kind in enumerate(kinds):
         if kind in (_HEADING, _META):
             body[i] = True
         elif kind == _PROSE_KIND:
-            body[i] = not around[i] or k not in profiles.strong
+            body[i] = not around[i] or not strong[i]
         elif kind == _ITEM:
             # an item goes on with what it follows, unless it is itself well known
-            body[i] = k in profiles.within and k in profiles.strong or not around[i] and i > 0 and body[i - 1]
-        elif k in profiles.heading:
+            body[i] = item[i] or not around[i] and i > 0 and body[i - 1]
+        elif flags[i] & _HEADS:
             j = i + 1
             while j < n and around[j] and kinds[j] != _ITEM:
                 j += 1
-            body[i] = j < n and (kinds[j] == _PROSE_KIND or kinds[j] == _ITEM and keys[j] in profiles.within and keys[j] in profiles.strong)
+            body[i] = j < n and (kinds[j] == _PROSE_KIND or kinds[j] == _ITEM and item[j])
     return [numbers[i] for i in range(n) if not body[i]]
 
 
+def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known: dict[int, int] = {}
+    for batch in batches:
+        rows = []
+        for place, host, digest, numbers, keys, kinds, menu, lines, flags in zip(*(texts_of(batch, c) for c in ("place", "host", "digest", "numbers", "keys", "kinds", "menu", "lines", "flags"))):
+            if place < 0:
+                known = dict(zip(lines, flags))
+            elif found := foreign_lines(numbers, keys, kinds, menu, known):
+                rows.append((host, digest, found))
+        types = (pa.string(), pa.string(), pa.list_(pa.int32()))
+        yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(types)], ["host", "digest", "found"])
+
+
 def _url_parts(url: str) -> tuple[F.Column, F.Column]:
     """Host and path of a URL column, however spelt; empty where there is none."""
     low = F.lower(F.trim(F.coalesce(F.col(url), F.lit(""))))
@@ -210,63 +217,90 @@ def _url_parts(url: str) -> tuple[F.Column, F.Column]:
     return host, path
 
 
-def _hashed_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import xxhash
+_PAGE = "host string, path string, digest string, numbers array<int>, keys array<bigint>, kinds array<tinyint>, menu boolean"
 
+
+def _hashed_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
-        for host, path, text in zip(texts_of(batch, "host"), texts_of(batch, "path"), texts_of(batch, "text")):
-            _, keys, kinds = page_lines(text)
-            rows.append((host, path, xxhash.xxh3_128_digest(text.encode()), keys, kinds))
-        types = (pa.string(), pa.string(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int8()))
-        yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(types)], ["host", "path", "digest", "keys", "kinds"])
+        for text in texts_of(batch, "text"):
+            numbers, keys, kinds = page_lines(text)
+            rows.append((numbers, keys, kinds, bool(numbers and _MENU.search(text.split("\n")[numbers[0] - 1]))))
+        types = (pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int8()), pa.bool_())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), *(pa.array([r[c] for r in rows], t) for c, t in enumerate(types))], ["host", "path", "digest", "numbers", "keys", "kinds", "menu"])
 
 
-def line_profiles(records: DataFrame, text: str = "retrieval_text", url: str = "source_url") -> Profiles:
-    """The profiles of the widely shared lines of a collection."""
-    spark = records.sparkSession
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each page with the block of neighbours of its host that it is in, and its place there."""
+    import xxhash
+
+    last, block, place = None, 0, BLOCK
+    for batch in batches:
+        blocks, places = [], []
+        for host, digest in zip(texts_of(batch, "host"), texts_of(batch, "digest")):
+            place += 1
+            if host != last or place >= BLOCK:
+                last, place = host, 0
+                block = xxhash.xxh3_64_intdigest(f"{host}\n{digest}".encode()) - (1 << 63)
+            blocks.append(block)
+            places.append(place)
+        yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(places, pa.int32()), *batch.columns], ["block", "place", *batch.schema.names])
+
+
+def _beside(pages: DataFrame, lines: DataFrame) -> DataFrame:
+    """The pages block by block in order, before each block a row with what is known of its lines: rows of block, line, flag."""
+    known = lines.groupBy("block").agg(F.collect_list(F.struct("line", "flag")).alias("x")).select("block", F.lit(-1).alias("place"), F.col("x.line").alias("lines"), F.col("x.flag").alias("flags"))
+    none = pages.select("block").distinct().join(known.select("block"), "block", "left_anti").select("block", F.lit(-1).alias("place"), F.array().cast("array<bigint>").alias("lines"), F.array().cast("array<int>").alias("flags"))
+    rows = pages.unionByName(known, allowMissingColumns=True).unionByName(none, allowMissingColumns=True)
+    return rows.repartition(parallelism(pages.sparkSession, 12), "block").sortWithinPartitions("block", "place")
+
+
+def line_profiles(pages: DataFrame) -> DataFrame:
+    """(host, line, flag): what differencing says of the lines that several pages have. `pages` are in blocks, each text of a host once."""
+    here = durable(pages.groupBy("block", "host").agg(F.array_distinct(F.flatten(F.collect_list("keys"))).alias("lines")).select("block", "host", F.explode("lines").alias("line")))
+    spread = pages.select("host", F.explode(F.array_distinct("keys")).alias("line")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))
+    spread = spread.join(pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages")), "host")
+    pooled = spread.groupBy("line").agg(F.sum("n").alias("all_n"), F.sum("pages").alias("all_pages")).where(F.col("all_n") >= LEAST_PAGES)
+    spread = durable(spread.join(pooled, "line"))
+    common = here.join(spread.select("host", "line", F.lit(0).alias("flag")), ["host", "line"])
+    partial = _beside(pages, common).select("place", "host", "keys", "kinds", "lines").mapInArrow(_differenced, "host string, line bigint, shared bigint, inside bigint, leads bigint, marked bigint")
+    counts = ("shared", "inside", "marked")
+    own = durable(partial.groupBy("host", "line").agg(*(F.sum(c).alias(c) for c in counts)))
+    every = own.groupBy("line").agg(*(F.sum(c).alias(f"all_{c}") for c in counts))
+    facts = spread.join(own, ["host", "line"], "left").join(every, "line")
+    enough = (F.col("n") >= LEAST_PAGES) & (F.col("shared") >= F.when(F.col("all_n") > F.col("n"), EVIDENCE).otherwise(LEAST_PAGES))
+    facts = facts.where((F.col("shared").isNotNull() & enough) | (F.col("all_shared") >= LEAST_PAGES))
+    shared, inside, marked = (F.when(F.coalesce(enough, F.lit(False)), F.col(c)).otherwise(F.col(f"all_{c}")) for c in counts)
+    kind = F.when(marked >= HEADING_SHARE * shared, _HEADS).when(inside >= INSIDE_SHARE * shared, _WITHIN).otherwise(_AROUND)
+    strong = (F.col("n") >= LEAST_PAGES) & (F.col("n") >= STRONG_SHARE * F.col("pages")) | (F.col("all_n") >= STRONG_SHARE * F.col("all_pages"))
+    flags = facts.select("host", "line", (kind + F.when(strong, _STRONG).otherwise(0)).alias("flag"))
+    return here.join(flags, ["host", "line"])
+
+
+def _found(records: DataFrame, text: str, url: str) -> DataFrame:
+    """(host, digest, found): the line numbers outside the body of each different text of a host that has any."""
     host, path = _url_parts(url)
-    pages = records.where(F.instr(text, "\n") > 0).select(host.alias("host"), path.alias("path"), F.col(text).alias("text"))
-    hashed = durable(pages.mapInArrow(_hashed_pages, "host string, path string, digest binary, keys array<bigint>, kinds array<tinyint>"))
-    ordered = hashed.repartitionByRange(parallelism(spark, 12), "host", "path", "digest").sortWithinPartitions("host", "path", "digest")
-    count = hashed.count()
-    least = max(LEAST_PAGES, LEAST_SHARE * count)
-    often = hashed.select(F.explode(F.array_distinct("keys")).alias("line")).groupBy("line").count().where(F.col("count") >= least)
-    spread = {r.line: r["count"] for r in often.collect()}
-    common = spark.sparkContext.broadcast(set(spread))
-    partial = ordered.mapInArrow(lambda batches: _differenced(batches, common.value), "line bigint, shared bigint, inside bigint, leads bigint, marked bigint")
-    total = partial.groupBy("line").agg(*(F.sum(c).alias(c) for c in ("shared", "inside", "leads", "marked"))).where(F.col("shared") >= least)
-    return Profiles([tuple(r) for r in total.collect()], spread, count)
+    pages = records.where(F.instr(text, "\n") > 0).select(host.alias("host"), path.alias("path"), F.md5(text).alias("digest"), F.col(text).alias("text"))
+    hashed = pages.mapInArrow(_hashed_pages, _PAGE)
+    once = hashed.groupBy("host", "digest").agg(F.min("path").alias("path"), *(F.first(c).alias(c) for c in ("numbers", "keys", "kinds", "menu")))
+    once = durable(once)
+    ordered = once.repartitionByRange(parallelism(records.sparkSession, 12), "host", "path", "digest").sortWithinPartitions("host", "path", "digest")
+    placed = ordered.select("host", "digest", "numbers", "keys", "kinds", "menu")
+    blocks = durable(placed.mapInArrow(_blocks, f"block bigint, place int, {_PAGE.replace('path string, ', '')}"))
+    return _beside(blocks, line_profiles(blocks)).mapInArrow(_judged, "host string, digest string, found array<int>")
 
 
 def page_boilerplate(records: DataFrame, key: str = "row_id", text: str = "retrieval_text", url: str = "source_url") -> DataFrame:
     """(key, line_no): the lines with letters or digits of web pages outside their main body. Null, empty and one-line texts have none."""
-    return _with_profiles(records, key, text, url, f"`{key}` {records.schema[key].dataType.simpleString()}, line_no int", False)
+    rows = records.select(F.col(key), _url_parts(url)[0].alias("page_host"), F.md5(text).alias("page_digest"))
+    found = _found(records, text, url)
+    return rows.join(found, (F.col("page_host") == F.col("host")) & (F.col("page_digest") == F.col("digest"))).select(F.col(key), F.explode("found").alias("line_no"))
 
 
 def page_bodies(records: DataFrame, key: str = "row_id", text: str = "retrieval_text", url: str = "source_url") -> DataFrame:
     """(key, removed_lines, body): every text without the lines that page_boilerplate finds; null stays null."""
-    return _with_profiles(records, key, text, url, f"`{key}` {records.schema[key].dataType.simpleString()}, removed_lines int, body string", True)
-
-
-def _with_profiles(records: DataFrame, key: str, text: str, url: str, schema: str, bodies: bool) -> DataFrame:
-    shared = records.sparkSession.sparkContext.broadcast(line_profiles(records, text, url))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at, lines, kept = [], [], []
-            for i, t in enumerate(texts_of(batch, text)):
-                found = foreign_lines(t, shared.value) if t and "\n" in t else []
-                if bodies:
-                    gone = set(found)
-                    at.append(i)
-                    lines.append(len(gone))
-                    kept.append("\n".join(x for n, x in enumerate(t.split("\n"), 1) if n not in gone) if t is not None else None)
-                else:
-                    at += [i] * len(found)
-                    lines += found
-            cols = [batch.column(0).take(pa.array(at, pa.int64())), pa.array(lines, pa.int32())]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(kept, pa.string())] if bodies else cols, [key, "removed_lines", "body"] if bodies else [key, "line_no"])
-
-    chosen = records.select(key, text)
-    return (chosen if bodies else chosen.where(F.instr(text, "\n") > 0)).mapInArrow(run, schema)
+    rows = records.select(F.col(key), F.col(text).alias("page_text"), _url_parts(url)[0].alias("page_host"), F.md5(text).alias("page_digest"))
+    joined = rows.join(_found(records, text, url), (F.col("page_host") == F.col("host")) & (F.col("page_digest") == F.col("digest")), "left")
+    gone = F.coalesce("found", F.array().cast("array<int>"))
+    kept = F.array_join(F.filter(F.split("page_text", "\n"), lambda x, i: ~F.array_contains(gone, i + 1)), "\n")
+    return joined.select(F.col(key), F.size(gone).alias("removed_lines"), F.when(F.size(gone) > 0, kept).otherwise(F.col("page_text")).alias("body"))

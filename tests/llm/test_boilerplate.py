@@ -46,3 +46,18 @@ def test_pages(spark):
     clean = {r.row_id: r.body for r in B.page_bodies(df).collect()}
     assert len(clean) == len(rows) + 4 and clean[900] is None and clean[0].startswith("# ") and "Copyright" not in clean[0]
     assert B.page_boilerplate(df.where("row_id > 5000")).count() == 0
+
+
+def test_small_host_in_a_large_corpus(spark):
+    """A small host loses its own menu and notice, however many pages other hosts have."""
+    rows, _ = pages(12, seed=3)
+    own = []
+    for k, t, _ in rows:
+        lines = t.replace("Skip to main content", "Skip to our garden").replace("Home | News | Contact", "Beds | Trees | Paths").replace("Copyright 2024 - Legal", "Our garden keeps small files on your device to count how often it is read.").split("\n")
+        own.append((k, "\n".join(lines), f"https://garden.org/{k}", {1, 2, len(lines) - 2, len(lines) - 1, len(lines)}))
+    others = [(1000 + k, f"Note {chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)}\nNothing here is shared by two of these pages at all, says {chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)}.", f"https://large.org/{k}") for k in range(5000)]
+    df = spark.createDataFrame([o[:3] for o in own] + others, "row_id bigint, retrieval_text string, source_url string")
+    got = {}
+    for r in B.page_boilerplate(df).collect():
+        got.setdefault(r.row_id, set()).add(r.line_no)
+    assert got == {k: lines for k, _, _, lines in own}
