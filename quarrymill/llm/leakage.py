@@ -2,9 +2,10 @@
 
 A passage is a window of `SPAN` words. The CGK embedding walks over a window's words: at step j it writes the
 current word and moves on if bit j of the word's hash is set. Windows at small edit distance then differ in few of the `STEPS`
-written places, so edit distance becomes Hamming distance. Each of `TABLES` keys hashes `SAMPLED` random places of the embedding;
-equal windows agree in every key, and windows with edits in at least one with good probability. Windows of documents
-whose key meets that of an item's window are verified by their exact edit distance.
+written places, so edit distance becomes Hamming distance. Each key hashes `SAMPLED` random places, apart from each other, of one of `WALKS` independent embeddings, which
+fail apart; equal windows agree in every key, so one key finds them all, and windows with up to two edits agree in one of the `TABLES` keys with a
+probability of at least 0.9, the recall asked for (`tests/llm/test_leakage.py` measures it). Windows of documents whose key meets
+that of an item's window are verified by their exact edit distance.
 
 The items are a stated query set. They are used in blocks of at most `BLOCK_WINDOWS` windows, each broadcast, however many there are.
 """
@@ -24,13 +25,18 @@ from quarrymill.llm.common import mix64, texts_of, word_codes
 
 SPAN = 10
 STEPS = 24
-SAMPLED = 5
-TABLES = 6
+SAMPLED = 3
+TABLES = 12
+WALKS = 12
+#: A walk is seldom past the window before this step; places after it say little, and places less than `_APART` apart often hold the same word.
+_WITHIN = 16
+_APART = 4
 BLOCK_WINDOWS = 200_000
 _FILTER_BITS = 22
 
 _rng = np.random.default_rng(20)
-_PLACES = np.sort(np.stack([_rng.choice(STEPS, SAMPLED, replace=False) for _ in range(TABLES)]), axis=1)
+# sampled places less (_APART - 1) each are any places of a shorter walk
+_PLACES = np.sort(np.stack([_rng.choice(_WITHIN - (SAMPLED - 1) * (_APART - 1), SAMPLED, replace=False) for _ in range(TABLES)]), axis=1) + np.arange(SAMPLED) * (_APART - 1)
 _FACTORS = mix64(np.arange(1, SAMPLED * TABLES + 1, dtype=np.uint64)).reshape(TABLES, SAMPLED) | np.uint64(1)
 
 
@@ -43,25 +49,27 @@ def window_starts(counts: np.ndarray, span: int = SPAN) -> tuple[np.ndarray, np.
     return first[text] + np.arange(len(text)) - begin[text], text
 
 
-def window_keys(codes: np.ndarray, starts: np.ndarray, span: int = SPAN) -> np.ndarray:
-    """The keys of each window (a row each)."""
-    keys = np.zeros((len(starts), TABLES), dtype=np.uint64)
+def window_keys(codes: np.ndarray, starts: np.ndarray, span: int = SPAN, tables: int = TABLES) -> np.ndarray:
+    """The first `tables` keys of each window (a row each); table t is of walk t modulo WALKS."""
+    keys = np.zeros((len(starts), tables), dtype=np.uint64)
     if not len(starts):
         return keys
-    steps = mix64(codes ^ np.uint64(0x5DEECE66D))
-    padded_codes, padded_steps = np.append(codes, np.uint64(0)), np.append(steps, np.uint64(0))
-    at = starts.copy()
+    padded_codes = np.append(codes, np.uint64(0))
     end = starts + span
     blank = len(codes)
-    for j in range(STEPS):
-        here = np.where(at < end, at, blank)
-        used = np.argwhere(_PLACES == j)
-        if len(used):
-            written = padded_codes[here]
-            for t, s in used:
-                keys[:, t] += (written ^ (written >> np.uint64(31))) * _FACTORS[t, s]
-        at += ((padded_steps[here] >> np.uint64(j)) & np.uint64(1)).astype(np.int64)
-    for t in range(TABLES):
+    for walk in range(min(WALKS, tables)):
+        padded_steps = np.append(mix64(codes ^ np.uint64(0x5DEECE66D + walk)), np.uint64(0))
+        at = starts.copy()
+        own = np.arange(walk, tables, WALKS)
+        for j in range(_PLACES[own].max() + 1):
+            here = np.where(at < end, at, blank)
+            used = np.argwhere(_PLACES[own] == j)
+            if len(used):
+                written = padded_codes[here]
+                for t, s in used:
+                    keys[:, own[t]] += (written ^ (written >> np.uint64(31))) * _FACTORS[own[t], s]
+            at += ((padded_steps[here] >> np.uint64(j)) & np.uint64(1)).astype(np.int64)
+    for t in range(tables):
         keys[:, t] = mix64(keys[:, t] + np.uint64(t))
     return keys
 
@@ -83,7 +91,8 @@ def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
 class ItemWindows:
     """The windows of a block of items, findable by their keys."""
 
-    def __init__(self, items: list[tuple[str, str]]):
+    def __init__(self, items: list[tuple[str, str]], tables: int = TABLES):
+        self.tables = tables
         codes, counts = word_codes([text for _, text in items])
         starts, text = window_starts(counts)
         rows = codes[starts[:, None] + np.arange(SPAN)] if len(starts) else np.zeros((0, SPAN), np.uint64)
@@ -93,9 +102,9 @@ class ItemWindows:
         self.items: list[set[str]] = [set() for _ in self.windows]
         for w, name in zip(inverse.ravel(), names):
             self.items[w].add(name)
-        keys = window_keys(self.windows.ravel(), np.arange(len(self.windows)) * SPAN)
+        keys = window_keys(self.windows.ravel(), np.arange(len(self.windows)) * SPAN, tables=tables)
         self.keys, self.owner, self.filter = [], [], []
-        for t in range(TABLES):
+        for t in range(tables):
             order = np.argsort(keys[:, t], kind="stable")
             self.keys.append(keys[order, t])
             self.owner.append(order)
@@ -106,7 +115,7 @@ class ItemWindows:
     def candidates(self, keys: np.ndarray) -> np.ndarray:
         """(window among those of `keys`, own window) pairs that share a key, each once."""
         found = []
-        for t in range(TABLES):
+        for t in range(self.tables):
             maybe = np.flatnonzero(self.filter[t][(keys[:, t] >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
             k = keys[maybe, t]
             lo, hi = np.searchsorted(self.keys[t], k, "left"), np.searchsorted(self.keys[t], k, "right")
@@ -118,6 +127,15 @@ class ItemWindows:
         return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
 
 
+def shared_words(codes: np.ndarray, starts: np.ndarray, index: ItemWindows, pairs: np.ndarray) -> np.ndarray:
+    """How many words of the first window of each pair the second has too."""
+    rows, own = codes[starts[pairs[:, 0]][:, None] + np.arange(SPAN)], index.windows[pairs[:, 1]]
+    n = np.zeros(len(pairs), dtype=np.int64)
+    for k in range(SPAN):
+        n += (own == rows[:, k, None]).any(axis=1)
+    return n
+
+
 def leaked(index: ItemWindows, texts: list[str | None], most_edits: int) -> list[dict[str, tuple[int, int]]]:
     """For each text, of each leaked item: (fewest edits of a window, number of the text's windows that hold a passage)."""
     out: list[dict[str, tuple[int, int]]] = [{} for _ in texts]
@@ -125,7 +143,10 @@ def leaked(index: ItemWindows, texts: list[str | None], most_edits: int) -> list
     starts, owner = window_starts(counts)
     if not len(starts) or not len(index.windows):
         return out
-    pairs = index.candidates(window_keys(codes, starts))
+    pairs = index.candidates(window_keys(codes, starts, tables=index.tables))
+    if most_edits:
+        # windows within the edits share all words but those; what a common word brought together goes here
+        pairs = np.concatenate([some[shared_words(codes, starts, index, some) >= SPAN - most_edits] for some in np.array_split(pairs, len(pairs) // 100_000 + 1)])
     rows = codes[starts[pairs[:, 0]][:, None] + np.arange(SPAN)]
     same = (rows == index.windows[pairs[:, 1]]).all(axis=1)
     held: dict[tuple[int, str], tuple[int, set[int]]] = {}
@@ -162,7 +183,7 @@ def leaked_items(documents: DataFrame, items: DataFrame, texts: list[str], key:
     parts = []
     for n in range(blocks):
         block = queries.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == n).select("item", "t").collect()
-        shared = spark.sparkContext.broadcast(ItemWindows([(r.item, r.t) for r in block]))
+        shared = spark.sparkContext.broadcast(ItemWindows([(r.item, r.t) for r in block], TABLES if most_edits else 1))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for whole in batches:

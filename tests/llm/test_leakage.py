@@ -54,3 +54,25 @@ def test_edited_passages(spark):
     right = [r for r in found if r.item_id == f"i{r.doc_id}"]
     assert len(right) == len(found) >= 54 and all(r.edits == 1 for r in right)
     assert K.edit_distance([1, 2, 3, 4], [1, 3, 4, 5], 3) == 2 and K.edit_distance([1], [2, 3, 4, 5], 2) == 3
+
+
+def test_recall_of_ten_words_with_two_edits(spark):
+    """Against brute force: items of exactly SPAN words, two words replaced, inserted or deleted."""
+    rng = random.Random(9)
+    vocabulary = [f"v{i}" for i in range(20000)]
+    items = [(f"i{k}", " ".join(rng.choice(vocabulary) for _ in range(10))) for k in range(600)]
+    docs = []
+    for k, (_, t) in enumerate(items):
+        w = t.split()
+        for _ in range(2):
+            at = rng.randrange(len(w))
+            w[at : at + rng.choice([0, 1, 1])] = rng.choice([[], [rng.choice(vocabulary)]]) if k % 2 else [rng.choice(vocabulary)]
+        docs.append((k, " ".join([rng.choice(vocabulary) for _ in range(15)] + w + [rng.choice(vocabulary) for _ in range(15)])))
+    want = set()
+    for k, t in docs:
+        w, own = words(t), words(items[k][1])
+        if any(K.edit_distance(w[s : s + 10], own, 2) <= 2 for s in range(len(w) - 9)):
+            want.add((k, f"i{k}"))
+    found = K.leaked_items(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "id string, query string"), ["query"], most_edits=2).collect()
+    got = {(r.doc_id, r.item_id) for r in found}
+    assert got <= want and len(want) > 400 and len(got) >= 0.9 * len(want), (len(got), len(want))
