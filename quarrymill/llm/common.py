@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable, Iterator
 
@@ -211,5 +212,64 @@ def hot_buckets(sample: DataFrame, fraction: float, limit: int) -> DataFrame:
     )
 
 
+def attach(rows: DataFrame, folded: DataFrame, key: str, most: int = 100_000) -> DataFrame:
+    """`rows` with the columns of `folded`, which has one row a key and its number of rows in `copies`.
+
+    Keys of more than `most` rows are broadcast, of which there are at most (number of rows) / `most`, so that no hot key is shuffled into one task; the rest meets by a
+    shuffle. Rows whose key is not in `folded` are left out.
+    """
+    hot = folded.where(F.col("copies") > most)
+    cold = folded.where(F.col("copies") <= most)
+    return rows.join(F.broadcast(hot), key).unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key))
+
+
+def meet(pairs: DataFrame, items: DataFrame, work: Callable[[np.ndarray, np.ndarray, dict[int, object]], list[pa.Array]], schema: str, prepare: Callable[[object], object], partitions: int, per: int = 20_000) -> DataFrame:
+    """What `work(a, b, values)` returns for the pairs (a, b), with the values of both sides at hand.
+
+    `items` is (id, value). Ids are hashed into blocks, so many that a task (a pair of blocks) has about `per` pairs, and a value is sent once to each task that needs it: a cluster of m rows
+    costs m times the number of blocks in values, not its number of pairs. `prepare` is applied once to each value of a task. Nothing is dropped; blocks only cut the work.
+    """
+    blocks = max(1, math.ceil(math.sqrt(pairs.count() / per)))
+    block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks))
+    cut = pairs.select((block("a") * blocks + block("b")).alias("task"), "a", "b")
+    need = cut.select("task", F.col("a").alias("id")).union(cut.select("task", F.col("b").alias("id"))).distinct()
+    sent = need.join(items.select("id", "value"), "id").select("task", F.lit(0).alias("kind"), F.col("id").alias("a"), F.lit(None).cast("bigint").alias("b"), "value")
+    both = sent.unionByName(cut.withColumn("kind", F.lit(1)), allowMissingColumns=True)
+    names = [f.split()[0] for f in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        values: dict[int, object] = {}
+        held: list[list[np.ndarray]] = []
+        now = None
+
+        def done() -> Iterator[pa.RecordBatch]:
+            if held:
+                a, b = (np.concatenate([h[c] for h in held]) for c in (0, 1))
+                out = work(a, b, values)
+                if len(out[0]):
+                    yield pa.RecordBatch.from_arrays(out, names)
+            values.clear()
+            held.clear()
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            task, kind = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            edges = [0, *(np.flatnonzero((task[1:] != task[:-1]) | (kind[1:] != kind[:-1])) + 1).tolist(), len(task)]
+            for s, e in zip(edges, edges[1:]):
+                if task[s] != now:
+                    yield from done()
+                    now = task[s]
+                part = batch.slice(s, e - s)
+                if kind[s] == 0:
+                    values.update(zip(part.column(2).to_pylist(), map(prepare, part.column(4).to_pylist())))
+                else:
+                    held.append([part.column(2).to_numpy(), part.column(3).to_numpy()])
+        yield from done()
+
+    shuffled = both.select("task", "kind", "a", "b", "value").repartition(partitions, "task").sortWithinPartitions("task", "kind")
+    return shuffled.mapInArrow(run, schema)
+
+
 def texts_of(batch: pa.RecordBatch, name: str) -> list[str | None]:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()

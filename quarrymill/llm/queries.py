@@ -11,7 +11,7 @@ from quarrymill.llm.knn import nearest_pairs
 from quarrymill.llm.language import corpus_language, language_cases
 from quarrymill.llm.leakage import leaked_items
 from quarrymill.llm.mixing import mix, mix_shares
-from quarrymill.llm.near_edit import near_edit_pairs
+from quarrymill.llm.near_edit import near_edit_groups, near_edit_pairs
 from quarrymill.llm.ocr import page_defects, repaired_pages
 from quarrymill.llm.pii import masked_documents, personal_spans
 from quarrymill.llm.residue import indexable, residue_values
@@ -23,6 +23,10 @@ def p1_found(spark: SparkSession, root: str) -> DataFrame:
     return near_edit_pairs(table(spark, root, "embedding_records"), threshold=0.7, least_words=30)
 
 
+def p1_groups(spark: SparkSession, root: str) -> DataFrame:
+    return near_edit_groups(table(spark, root, "embedding_records"))
+
+
 def p2_found(spark: SparkSession, root: str) -> DataFrame:
     return nearest_pairs(table(spark, root, "embedding_records"))
 
@@ -95,6 +99,7 @@ def p10_masked(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
+    "p1_groups": p1_groups,
     "p2_found": p2_found,
     "p3_found": p3_found,
     "p3_indexable": p3_indexable,

@@ -46,5 +46,38 @@ def test_small_tables(spark):
 
 
 def test_plan_follows_size():
-    assert knn.plan(1000, 0.85, 0.95)[0] == 12 and knn.plan(10**9, 0.85, 0.95)[0] == 22
-    assert knn.plan(10**9, 0.85, 0.95)[1] > knn.plan(1000, 0.85, 0.95)[1]
+    """Longer substrings for more vectors, in about as many tables, since more bits are flipped in probing."""
+    small, large = knn.plan(1000, 0.85, 0.95), knn.plan(10**10, 0.85, 0.95)
+    assert small[0] == 14 and large[0] == 25 and large[2] > small[2]
+    for rows in (10**3, 10**7, 10**8, 10**9, 10**10, 10**12):
+        bits, tables, flips = knn.plan(rows, 0.85, 0.95)
+        assert tables <= knn.MOST_TABLES and 1 - (1 - knn.meeting(bits, flips, np.arccos(0.85) / np.pi)) ** tables >= 0.95
+
+
+def test_probes_meet_within_the_radius():
+    rng = np.random.default_rng(4)
+    import pyarrow as pa
+
+    from collections import defaultdict
+
+    subs = rng.integers(0, 1 << 10, (300, 2))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array(subs.tolist(), pa.list_(pa.int64())), *(pa.array([0] * 300) for _ in knn._WORDS)], ["id", "subs", *knn._WORDS])
+    at = defaultdict(set)
+    for out in knn._probed(10, 2, 1)(iter([batch])):
+        for bucket, i in zip(out.column(0).to_pylist(), out.column(1).to_pylist()):
+            at[i].add(bucket)
+    for i in range(300):
+        for j in range(i):
+            within = any(bin(int(a ^ b)).count("1") <= 1 for a, b in zip(subs[i], subs[j]))
+            assert not within or at[i] & at[j]
+
+
+def test_recall_at_the_settings_of_large_tables(spark):
+    """Substring lengths of 10^7 and of 10^9 vectors, forced on a small table."""
+    rows = data(3)
+    df = spark.createDataFrame(rows, "row_id bigint, embedding array<float>")
+    want = truth(rows)
+    for size in (10**7, 10**9):
+        bits = knn.plan(size, 0.85, 0.95)[0]
+        got = {tuple(r) for r in knn.nearest_pairs(df, bits=bits).collect()}
+        assert len(got & want) >= 0.9 * len(want)

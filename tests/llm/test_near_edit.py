@@ -72,3 +72,31 @@ def test_hot_buckets_lose_no_pair(spark):
     plain = {tuple(r) for r in compare_buckets(df, near, 3, block=32).collect()}
     cut = {tuple(r) for r in compare_buckets(df, near, 3, spark.createDataFrame([(1, 4)], "bucket bigint, blocks int"), block=16).collect()}
     assert plain == want and cut == want
+
+
+def test_groups(spark):
+    rows = corpus()
+    df = spark.createDataFrame(rows + [(5000, None), (5001, "")], "row_id bigint, retrieval_text string")
+    got = {r.row_id: r for r in near_edit.near_edit_groups(df, threshold=0.7, least_words=30).collect()}
+    pairs = truth(rows, 0.7)
+    text = dict(rows)
+    reps = {i: min(j for j, t in rows if t == text[i]) for i, _ in rows}
+    assert set(got) == set(text) and all(got[i].copies == sum(t == text[i] for _, t in rows) for i in text)
+    links = {(min(reps[a], reps[b]), max(reps[a], reps[b])) for a, b in pairs}
+    missed = sum(got[a].class_id != got[b].class_id for a, b in links)
+    assert missed <= 0.03 * len(links) and all(got[i].class_id == got[reps[i]].class_id for i in got)
+    assert sum(got[i].links for i in got if i == reps[i]) <= 2 * len(links)
+    assert near_edit.near_edit_groups(spark.createDataFrame([], "row_id bigint, retrieval_text string")).count() == 0
+
+
+def test_many_near_copies_of_one_text(spark):
+    """600 different near copies: every pair is found, though each text is sent only to a few tasks."""
+    rng = random.Random(5)
+    base = [rng.choice(WORDS) for _ in range(90)]
+    rows = []
+    for i in range(600):
+        w = list(base)
+        w[-1] = f"x{i}"
+        rows.append((i, " ".join(w)))
+    df = spark.createDataFrame(rows, "row_id bigint, retrieval_text string")
+    assert near_edit.near_edit_pairs(df).count() == 600 * 599 // 2
