@@ -223,11 +223,11 @@ def attach(rows: DataFrame, folded: DataFrame, key: str, most: int = 100_000) ->
     return rows.join(F.broadcast(hot), key).unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key))
 
 
-def meet(pairs: DataFrame, items: DataFrame, work: Callable[[np.ndarray, np.ndarray, dict[int, object]], list[pa.Array]], schema: str, prepare: Callable[[object], object], partitions: int, per: int = 20_000) -> DataFrame:
+def meet(pairs: DataFrame, items: DataFrame, work: Callable[[np.ndarray, np.ndarray, dict[int, object]], list[pa.Array]], schema: str, prepare: Callable[[list], list], partitions: int, per: int = 2_000) -> DataFrame:
     """What `work(a, b, values)` returns for the pairs (a, b), with the values of both sides at hand.
 
     `items` is (id, value). Ids are hashed into blocks, so many that a task (a pair of blocks) has about `per` pairs, and a value is sent once to each task that needs it: a cluster of m rows
-    costs m times the number of blocks in values, not its number of pairs. `prepare` is applied once to each value of a task. Nothing is dropped; blocks only cut the work.
+    costs m times the number of blocks in values, not its number of pairs. `prepare` is applied once to the values of a task. Nothing is dropped; blocks only cut the work.
     """
     blocks = max(1, math.ceil(math.sqrt(pairs.count() / per)))
     block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks))
@@ -262,7 +262,7 @@ def meet(pairs: DataFrame, items: DataFrame, work: Callable[[np.ndarray, np.ndar
                     now = task[s]
                 part = batch.slice(s, e - s)
                 if kind[s] == 0:
-                    values.update(zip(part.column(2).to_pylist(), map(prepare, part.column(4).to_pylist())))
+                    values.update(zip(part.column(2).to_pylist(), prepare(part.column(4).to_pylist())))
                 else:
                     held.append([part.column(2).to_numpy(), part.column(3).to_numpy()])
         yield from done()

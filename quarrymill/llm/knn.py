@@ -193,7 +193,7 @@ def nearest_pairs(records: DataFrame, key: str = "row_id", vector: str = "embedd
 
     parts = parallelism(spark, 12)
     pairs = durable(compare_buckets(probed(folded), near, parts, hot))
-    scored = meet(pairs, base.select(F.col("row_key").alias("id"), F.col("vector").alias("value")), _reranked(k, min_cosine), "a bigint, b bigint, cosine double", lambda v: v, parts)
+    scored = meet(pairs, base.select(F.col("row_key").alias("id"), F.col("vector").alias("value")), _reranked(k, min_cosine), "a bigint, b bigint, cosine double", list, parts)
     best = scored.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("cosine"), "b"))).where(F.col("r") <= k).select("a", "b", "cosine")
     head = folded.select("id", "head")
     others = best.join(head.withColumnRenamed("id", "b"), "b").select(F.col("a").alias("id"), F.transform("head", lambda m: F.struct((-F.col("cosine")).alias("d"), m.alias("m"))).alias("list"))

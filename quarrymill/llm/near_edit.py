@@ -119,8 +119,9 @@ def sketch_radius(threshold: float) -> int:
     return math.ceil(SKETCH_BITS * p + SKETCH_SPREAD * math.sqrt(SKETCH_BITS * p * (1 - p)))
 
 
-def shingle_set(text: str | None, size: int = SHINGLE) -> frozenset[int]:
-    return frozenset(shingles(*word_codes([text]), size)[0].tolist())
+def shingle_lists(texts: list[str | None], size: int = SHINGLE) -> list[frozenset[int]]:
+    hashes, runs = shingles(*word_codes(texts), size)
+    return [frozenset(x.tolist()) for x in np.split(hashes, np.cumsum(runs)[:-1])] if len(runs) else []
 
 
 def _verified(threshold: float):
@@ -162,7 +163,7 @@ def near_edit_links(records: DataFrame, key: str = "row_id", text: str = "retrie
 
     parts = parallelism(spark, 12)
     candidates = durable(compare_buckets(exploded(texts), close, parts, hot))
-    links = meet(candidates, base.select(F.col("row_key").alias("id"), F.col("row_text").alias("value")), _verified(threshold), "a bigint, b bigint, similarity double", shingle_set, parts)
+    links = meet(candidates, base.select(F.col("row_key").alias("id"), F.col("row_text").alias("value")), _verified(threshold), "a bigint, b bigint, similarity double", shingle_lists, parts)
     members = attach(rows.select("row_key", "digest"), texts.select("digest", F.col("id").alias("a"), "copies"), "digest").select("row_key", "a", "copies")
     return links, members
 

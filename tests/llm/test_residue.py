@@ -23,3 +23,45 @@ def test_parts_of_a_value(spark):
     df = spark.createDataFrame([("a", "A real photo of the hall. 503 Service Unavailable – please try again later", "A real photo of the hall.")], "id string, caption string, description string")
     assert {(r.media_id, r.field) for r in R.residue_values(df).collect()} == {("a", "caption")}
     assert R.residue_values(df.where("id = 'none'")).count() == 0
+
+
+def test_spread_against_brute_force(spark):
+    """Half of the labelled forms are withheld: what brute force reaches from the other half is nearly all reached by the tables."""
+    import hashlib
+    import os
+
+    import pytest
+
+    root = "/root/testdata/sf0.1"
+    if not os.path.exists(root):
+        pytest.skip("no test tables")
+    media = spark.read.parquet(f"{root}/media.parquet")
+    values = media.selectExpr("caption as value").union(media.selectExpr("description as value")).where("trim(value) != ''").distinct()
+    sentences = {s for r in values.collect() for s in R.sentence_list(r.value)}
+    forms = {R.sentence_form(s) for s in sentences} - {""}
+    messages = {R.sentence_form(s) for s in sentences if R.trusted(s) == "message"} - {""}
+    variables = {R.sentence_form(s) for s in sentences if R.trusted(s) == "variable"} - messages
+    seeds = {f for f in messages if hashlib.md5(f.encode()).digest()[0] % 2}
+
+    def half(s):
+        return R.trusted(s) if R.trusted(s) != "message" or R.sentence_form(s) in seeds else None
+
+    def near(a, b):
+        most = int((1 - R.LEAST_SIMILARITY) * max(len(a), len(b)) + 1e-9)
+        if abs(len(a) - len(b)) > most:
+            return False
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            before, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+        return row[-1] <= most
+
+    reached, front = set(seeds), set(seeds)
+    while front:
+        front = {f for f in forms - reached - variables if any(near(f, g) for g in front)}
+        reached |= front
+    got = {r.form for r in R.residue_forms(values, half).collect()} - variables
+    share = len((got - seeds) & (reached - seeds)) / len(reached - seeds)
+    print(f"withheld {len(messages - seeds)}, brute force reaches {len(reached & messages - seeds)}, tables {len(got & messages - seeds)}; share of all reached {share:.3f}; outside {len(got - messages)}")
+    assert got <= reached and share >= 0.9
