@@ -3,8 +3,11 @@
 * Counts: all words of all pages, fragments at split line ends left out.
 * Joins: a line that ends in a hyphen and the next line form a pair; a boosted classifier over the counts of both parts and of the joined and
   the hyphenated word decides whether the hyphen is the scanner's or the word's own.
-* Misread words: every word type meets more frequent ones through an inverted join on character bigrams; a boosted ranker,
-  trained on artificial confusions of this corpus's own words (`FIT_WORDS`), chooses a replacement or none.
+* Signs: what stands inside words but is no letter of the alphabet (digits, daggers, foreign letters) is taken for the letter that turns most of its words into frequent ones; so the signs of a scanner are
+  learned from all words of all pages.
+* Misread words: every word type meets other types through an inverted join on character trigrams of its stroke form. A type is looked up by its four rarest trigrams only,
+  since one edit spoils at most three, so frequent trigrams are seldom looked up; lengths differ by at most one. A boosted ranker, trained on artificial confusions of this
+  corpus's own words (`FIT_WORDS`), chooses a replacement or none.
 * Furniture: lines near the top and bottom are grouped by document and by a form without digits and confusable characters; a boosted classifier,
   trained on clear cases of a bounded sample (`FIT_LINES`), decides which forms are running headers. A page number is a line that is a number in the usual dress, or a
   header's number that changes with the page.
@@ -27,19 +30,23 @@ from quarrymill.session import durable
 
 FIT_WORDS = 3_000
 FIT_LINES = 20_000
-#: How many times as frequent a replacement must be.
+#: How many times as frequent a replacement must be, unless the word seen has a sign in place of a letter.
 LEAST_RATIO = 8
+#: From this count on a word is frequent.
 LEAST_COUNT = 4
 ZONE = 3
-
-#: What scanners take characters for.
-CONFUSIONS = (("t", "†"), ("i", "|"), ("o", "0"), ("s", "5"), ("l", "1"), ("g", "9"), ("b", "6"), ("a", "ɑ"), ("e", "c"), ("u", "ii"), ("n", "ri"), ("m", "rn"), ("h", "li"), ("w", "vv"), ("i", "1"), ("l", "|"), ("e", "f"))
-#: Every confusable character as the strokes it shares with its likes: u, h and ii or li; n and ri; m and rn.
-_STROKES = str.maketrans({"†": "t", "|": "i", "1": "i", "l": "i", "0": "o", "5": "s", "9": "g", "6": "b", "ɑ": "a", "c": "e", "f": "e", "ſ": "e", "u": "ii", "h": "ii", "n": "ri", "m": "rri", "w": "vv"})
+GRAM = 3
+
+#: Letters and pairs of letters that are commonly confused in print.
+CONFUSIONS = (("e", "c"), ("u", "ii"), ("n", "ri"), ("m", "rn"), ("h", "li"), ("w", "vv"), ("e", "f"))
+#: The same letters as the strokes they share: u, h and ii or li; n and ri; m and rn.
+LETTER_STROKES = {"l": "i", "c": "e", "f": "e", "ſ": "e", "u": "ii", "h": "ii", "n": "ri", "m": "rri", "w": "vv"}
+#: The letters of the pages' languages.
+_LETTERS = "abcdefghijklmnopqrstuvwxyzäöüßàâæçèéêëîïôœùûÿáíóúñ"
 HYPHENS = "-‐¬­"
 
 _BREAK = re.compile(r"[\s.,;:!?()\[\]{}\"“”«»'’‘/–—·*#~…<>=+]+")
-_CODE = re.compile(r"[a-z]{1,4}\d{1,4}|[ivxlcdm]{1,8}|\d+[a-z]{0,2}")
+_ROMAN = re.compile(r"[ivxlcdm]{1,8}")
 _LIST = re.compile(r"^\s*(?:\d{1,3}[.)]|[-*•–])\s+\S")
 _SECTION = re.compile(r"^\s*\d{1,2}(?:\.\d{1,2})+\.?\s+\S")
 _NUMBER_LINE = re.compile(
@@ -48,9 +55,24 @@ _NUMBER_LINE = re.compile(
 _DRESSED = re.compile(r"[\[\]~/(){}]|^\s*[-–—]|page|seite|página|pagina|\b[ps]\.", re.I)
 
 
-def skeleton(word: str) -> str:
-    """A word with all confusable characters as one: equal for a word and its usual misreadings."""
-    return word.translate(_STROKES)
+class Strokes:
+    """What each letter and each learned sign looks like; `signs` are (sign, letter), the likeliest letter first."""
+
+    def __init__(self, signs: list[tuple[str, str]] = ()):
+        self.signs = list(signs)
+        best: dict[str, str] = {}
+        for sign, letter in self.signs:
+            best.setdefault(sign, LETTER_STROKES.get(letter, letter))
+        self.table = str.maketrans({**LETTER_STROKES, **best})
+        self.odd = set(best)
+        self.confusions = (*CONFUSIONS, *((letter, sign) for sign, letter in self.signs))
+
+    def form(self, word: str) -> str:
+        """A word with all confusable characters as one: equal for a word and its usual misreadings."""
+        return word.translate(self.table)
+
+    def is_odd(self, word: str) -> bool:
+        return any(ch in self.odd or not ch.isalpha() for ch in word)
 
 
 def tokens(line: str) -> list[str]:
@@ -65,7 +87,7 @@ def tokens(line: str) -> list[str]:
 
 def parts_of(token: str) -> list[str]:
     """A hyphenated token's parts, or the token itself: what counts and corrections are about."""
-    return [p for p in re.split(rf"[{HYPHENS}]+", token) if len(p) > 1 and any(map(str.isalpha, p)) and not _CODE.fullmatch(p)]
+    return [p for p in re.split(rf"[{HYPHENS}]+", token) if len(p) > 1 and any(map(str.isalpha, p)) and not _ROMAN.fullmatch(p)]
 
 
 def line_pairs(lines: list[str]) -> list[tuple[int, str, str]]:
@@ -73,7 +95,7 @@ def line_pairs(lines: list[str]) -> list[tuple[int, str, str]]:
     out = []
     for i, line in enumerate(lines[:-1]):
         bare = line.rstrip()
-        if len(bare) > 1 and bare[-1] in HYPHENS and (bare[-2].isalpha() or bare[-2] in "†|0156 9ɑ") and bare[-2] != " ":
+        if len(bare) > 1 and bare[-1] in HYPHENS and bare[-2] not in HYPHENS and not _BREAK.match(bare[-2]):
             left, right = _BREAK.split(bare[:-1])[-1].lower(), _BREAK.split(lines[i + 1].strip())
             right = right[0].lower() if right else ""
             if left and right and any(map(str.isalpha, left)) and any(map(str.isalpha, right)) and lines[i + 1].strip()[:1] not in ("", "(", "["):
@@ -103,7 +125,7 @@ def page_words(text: str) -> tuple[Counter, list[tuple[int, str, str]]]:
 
 def _grams(word: str) -> set[str]:
     padded = f"^{word}$"
-    return {padded[i : i + 2] for i in range(len(padded) - 1)}
+    return {padded[i : i + GRAM] for i in range(max(1, len(padded) - GRAM + 1))}
 
 
 def _edits(a: str, b: str) -> int:
@@ -115,17 +137,17 @@ def _edits(a: str, b: str) -> int:
     return row[-1]
 
 
-def correction_features(seen: str, word: str, seen_count: float, word_count: float) -> list[float]:
-    a, b = skeleton(seen), skeleton(word)
+def correction_features(strokes: Strokes, seen: str, word: str, seen_count: float, word_count: float) -> list[float]:
+    a, b = strokes.form(seen), strokes.form(word)
     ga, gb = _grams(seen), _grams(word)
-    odd = sum(not ch.isalpha() or ch in "ɑſ" for ch in seen)
+    odd = sum(not ch.isalpha() or ch in strokes.odd for ch in seen)
     return [float(a == b), _edits(a, b), _edits(seen, word), odd, np.log1p(word_count), np.log1p(seen_count), np.log((word_count + 1) / (seen_count + 1)), len(seen), len(seen) - len(word), 2 * len(ga & gb) / (len(ga) + len(gb)), float(seen[0] == word[0])]
 
 
-def train_correction(words: list[tuple[str, int]], seed: int = 4) -> Boosted:
+def train_correction(words: list[tuple[str, int]], strokes: Strokes, seed: int = 4) -> Boosted:
     """The ranker, from artificial misreadings of frequent words and from real words that are no misreadings."""
     rng = np.random.default_rng(seed)
-    words = [(w, n) for w, n in words if len(w) > 2 and w.isalpha() and "ɑ" not in w and "-" not in w]
+    words = [(w, n) for w, n in words if len(w) > 2 and not strokes.is_odd(w)]
     if len(words) < 10:
         return Boosted(np.zeros((0, 11)), np.zeros(0))
     index: dict[str, list[int]] = {}
@@ -144,7 +166,7 @@ def train_correction(words: list[tuple[str, int]], seed: int = 4) -> Boosted:
         w, n = words[own]
         seen = w
         for _ in range(1 if rng.random() < 0.8 else 2):
-            open_ = [(a, b) for a, b in CONFUSIONS if a in seen]
+            open_ = [(a, b) for a, b in strokes.confusions if a in seen]
             if open_:
                 a, b = open_[rng.integers(len(open_))]
                 places = [m.start() for m in re.finditer(re.escape(a), seen)]
@@ -152,16 +174,19 @@ def train_correction(words: list[tuple[str, int]], seed: int = 4) -> Boosted:
                 seen = seen[:at] + b + seen[at + len(a) :]
         count = float(rng.integers(0, max(2, n // (2 * LEAST_RATIO))))
         if seen != w:
-            x.append(correction_features(seen, w, count, n))
+            if strokes.is_odd(seen) and rng.random() < 0.3:
+                n, count = int(rng.integers(1, LEAST_RATIO)), 1.0  # a sign gives a rare word away too
+            x.append(correction_features(strokes, seen, w, count, n))
             y.append(1.0)
             for i in near(seen, own):
-                x.append(correction_features(seen, words[i][0], count, words[i][1]))
-                y.append(0.0)
+                if strokes.form(words[i][0]) != strokes.form(w):
+                    x.append(correction_features(strokes, seen, words[i][0], count, words[i][1]))
+                    y.append(0.0)
         # the word as it is, though rare, is no misreading of its neighbours
         rare = float(rng.integers(1, 12))
         for i in near(w, own):
-            if skeleton(words[i][0]) != skeleton(w):
-                x.append(correction_features(w, words[i][0], rare, words[i][1]))
+            if strokes.form(words[i][0]) != strokes.form(w):
+                x.append(correction_features(strokes, w, words[i][0], rare, words[i][1]))
                 y.append(0.0)
     return Boosted(np.array(x), np.array(y))
 
@@ -202,9 +227,9 @@ def zone_lines(text: str) -> list[tuple[int, str, int, str]]:
     return out
 
 
-def line_form(line: str) -> str:
+def line_form(line: str, strokes: Strokes) -> str:
     """What a line and its misread or numbered likes have in common: strokes of its letters, without lone numbers."""
-    return re.sub(r"[\W\d_]+", "", skeleton(re.sub(r"(?<![^\W_])\d+(?![^\W_])", " ", line.lower())))
+    return re.sub(r"[\W\d_]+", "", strokes.form(re.sub(r"(?<![^\W_])\d+(?![^\W_])", " ", line.lower())))
 
 
 _END_NUMBERS = (re.compile(r"(?:^|[\s\-–—·|\[(~])(\d{1,4})[\s\-–—·|\])~]*$"), re.compile(r"^[\s\-–—·|\[(~]*(\d{1,4})(?:[\s\-–—·|\])~]|$)"))
@@ -221,7 +246,7 @@ def _furniture_features(row) -> list[float]:
     return [np.log(row["pages"]), row["pages"] / max(1, row["doc_pages"]), row["place"], row["words"], row["upper"], row["stop"], row["listed"], np.log(row["docs"]), float(row["doc_pages"])]
 
 
-def _zone_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _zone_rows(batches: Iterator[pa.RecordBatch], strokes: Strokes) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for pk, doc, text in zip(texts_of(batch, "pk"), texts_of(batch, "document_id"), texts_of(batch, "ocr_text")):
@@ -229,7 +254,7 @@ def _zone_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for i, zone, place, s in zone_lines(text):
                 pure = _NUMBER_LINE.match(s)
                 blank = i == 0 or i == len(lines) - 1 or not lines[i - 1].strip() or not lines[i + 1].strip()
-                rows.append((pk, doc, i, zone, place, line_form(s) if not pure else "", line_number(s), bool(pure), bool(pure and (_DRESSED.search(s) or blank or place == 0)), len(s.split()), float(s.isupper()), float(s[-1] in ".,;:?!" + HYPHENS), float(bool(_LIST.match(s) or _SECTION.match(s) or not (s[0].isupper() or s[0].isdigit()))), bool(place == 0 and len(s.split()) < 12 and _TABBED.search(s) and line_number(s) is not None)))
+                rows.append((pk, doc, i, zone, place, line_form(s, strokes) if not pure else "", line_number(s), bool(pure), bool(pure and (_DRESSED.search(s) or blank or place == 0)), len(s.split()), float(s.isupper()), float(s[-1] in ".,;:?!" + HYPHENS), float(bool(_LIST.match(s) or _SECTION.match(s) or not (s[0].isupper() or s[0].isdigit()))), bool(place == 0 and len(s.split()) < 12 and _TABBED.search(s) and line_number(s) is not None)))
         types = (pa.int64(), pa.string(), pa.int32(), pa.string(), pa.int32(), pa.string(), pa.int32(), pa.bool_(), pa.bool_(), pa.int32(), pa.float64(), pa.float64(), pa.float64(), pa.bool_())
         names = ["pk", "document_id", "line", "zone", "place", "form", "number", "pure", "alone", "words", "upper", "stop", "listed", "tabbed"]
         yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(types)], names)
@@ -238,9 +263,9 @@ def _zone_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _ZONE_SCHEMA = "pk bigint, document_id string, line int, zone string, place int, form string, number int, pure boolean, alone boolean, words int, upper double, stop double, listed double, tabbed boolean"
 
 
-def furniture(pages: DataFrame) -> DataFrame:
+def furniture(pages: DataFrame, strokes: Strokes) -> DataFrame:
     """(pk, line, header, number): the lines of each page that are running headers, and those that hold the page's number."""
-    zone = durable(pages.mapInArrow(_zone_rows, _ZONE_SCHEMA))
+    zone = durable(pages.mapInArrow(lambda batches: _zone_rows(batches, strokes), _ZONE_SCHEMA))
     doc_pages = pages.groupBy("document_id").agg(F.count_distinct("page_key").alias("doc_pages"))
     keyed = zone.where("form != ''").join(pages.select("pk", "page_key", "page_number"), "pk")
     forms = keyed.groupBy("document_id", "form").agg(
@@ -320,30 +345,67 @@ def join_decisions(pairs: DataFrame, words: DataFrame) -> DataFrame:
     return kinds.select("left", "right", "left_n", "right_n", "joined_n", "hyphened_n").mapInArrow(run, "left string, right string")
 
 
-def corrections(words: DataFrame, joined: DataFrame) -> DataFrame:
+def learn_strokes(words: DataFrame) -> Strokes:
+    """The signs that stand for letters, with the letter that turns most word types with the sign into frequent words.
+
+    A sign is no letter, or a letter outside the alphabet of the pages' languages by whose replacement a third of its words become frequent ones. All word types take part; what
+    is collected has a row for a sign and letter.
+    """
+    plain = words.where(~F.col("word").contains("-"))
+    chars = plain.select("word", "n", F.explode(F.array_distinct(F.split("word", ""))).alias("sign")).where("sign != ''")
+    odd = chars.where(~F.col("sign").rlike(f"[{_LETTERS}]"))
+    one = odd.where("length(word) > 2").groupBy("word").agg(F.max("sign").alias("sign"), F.count(F.lit(1)).alias("signs"), F.max("n").alias("n")).where("signs = 1")
+    tried = one.select("word", "sign", F.explode(F.split(F.lit(_LETTERS), "")).alias("letter"), "n").where("letter != ''").withColumn("made", F.replace("word", F.col("sign"), F.col("letter")))
+    hits = tried.join(plain.select(F.col("word").alias("made"), F.col("n").alias("made_n")), "made").where((F.col("made_n") >= LEAST_COUNT) & (F.col("made_n") >= 2 * F.col("n")))
+    votes = hits.groupBy("sign", "letter").agg(F.count(F.lit(1)).alias("votes"))
+    every = votes.groupBy("sign").agg(F.sum("votes").alias("every"))
+    every = every.join(hits.groupBy("sign").agg(F.count_distinct("word").alias("mended")), "sign").join(one.groupBy("sign").agg(F.count(F.lit(1)).alias("types")), "sign")
+    every = every.where(~F.col("sign").rlike(r"\p{L}") | (F.col("mended") >= F.col("types") / 3))
+    chosen = votes.join(every, "sign").where((F.col("votes") >= 3) & (F.col("votes") >= 0.2 * F.col("every"))).orderBy("sign", F.desc("votes"), "letter")
+    return Strokes([(r.sign, r.letter) for r in chosen.collect()])  # at most five letters a sign, and a sign is one character
+
+
+def corrections(words: DataFrame, joined: DataFrame, strokes: Strokes) -> DataFrame:
     """(word, better): the misread word types and their replacements. `joined` (word) are types made by joining lines."""
-    fit = words.where(f"n >= {LEAST_COUNT}").orderBy(F.desc("n"), "word").limit(FIT_WORDS).collect()
-    model = words.sparkSession.sparkContext.broadcast(train_correction([(r.word, r.n) for r in fit]))
+    fit = words.where(f"n >= {LEAST_COUNT} and not contains(word, '-')").orderBy(F.desc("n"), "word").limit(FIT_WORDS).collect()
+    shared = words.sparkSession.sparkContext.broadcast((train_correction([(r.word, r.n) for r in fit], strokes), strokes))
     plain = words.where(~F.col("word").contains("-"))
-    seen = plain.union(joined.join(plain, "word", "left_anti").select("word", F.lit(0).cast("bigint").alias("n"))).where(F.length("word") > 2)
-    grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) + 1), lambda i: F.concat(F.lit("^"), c, F.lit("$")).substr(i, F.lit(2))))
-    a = seen.select(F.col("word").alias("seen"), F.col("n").alias("seen_n"), F.explode(grams(F.col("word"))).alias("gram"))
-    b = plain.where((F.col("n") >= LEAST_COUNT) & ~F.col("word").rlike(r"[\d|†ɑſ]")).select("word", "n", F.explode(grams(F.col("word"))).alias("gram"))
-    met = a.join(b, "gram").where((F.col("n") >= LEAST_RATIO * F.greatest(F.col("seen_n"), F.lit(1))) & (F.abs(F.length("seen") - F.length("word")) <= 2) & (F.col("seen") != F.col("word")))
-    # one or two confusions touch at most three bigrams each
-    met = met.groupBy("seen", "word", "seen_n", "n").agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= F.greatest(F.lit(1), F.length("word") + 1 - 7))
-    met = met.where(F.levenshtein("seen", "word", 4) >= 0)
+    every = plain.union(joined.join(plain, "word", "left_anti").select("word", F.lit(0).cast("bigint").alias("n")))
+
+    def forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value[1]
+        for batch in batches:
+            ws = texts_of(batch, "word")
+            marked = [own.form(w) for w in ws]
+            cols = [pa.array(marked, pa.string()), pa.array([own.is_odd(w) for w in ws], pa.bool_()), pa.array([sorted(_grams(f)) for f in marked], pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], ["word", "n", "form", "odd", "grams"])
+
+    types = durable(every.select("word", "n").mapInArrow(forms, "word string, n bigint, form string, odd boolean, grams array<string>"))
+    known = types.where("not odd and n > 0")
+    rarity = known.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    # a word of two letters is looked up only if a sign stands in it beside a letter
+    seen = types.where("length(word) > 2 or odd").select(F.col("word").alias("seen"), F.col("n").alias("seen_n"), F.col("form").alias("seen_form"), "odd", "grams")
+    ranked = seen.select("seen", F.explode("grams").alias("gram")).join(rarity, "gram", "left").groupBy("seen").agg(F.slice(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "gram"))), 1, GRAM + 1).alias("rare"))  # bounded by one word
+    a = ranked.select("seen", F.explode("rare").alias("g")).where("g.df > 0").select("seen", "g.gram").join(seen.drop("grams"), "seen").withColumn("size", F.length("seen_form"))
+    sizes = F.explode(F.array(*(F.length("form") + d for d in (-1, 0, 1)))).alias("size")
+    b = known.select("word", "n", "form", sizes, "grams").select("word", "n", "form", "size", F.explode("grams").alias("gram"))
+    met = a.join(b, ["gram", "size"]).where(F.col("seen") != F.col("word"))
+    enough = (F.col("n") >= LEAST_COUNT) & (F.col("n") >= LEAST_RATIO * F.greatest(F.col("seen_n"), F.lit(1))) & (F.length("seen") > 2)
+    met = met.where(F.when(F.col("odd"), (F.col("form") == F.col("seen_form")) & (F.col("n") >= F.col("seen_n")) | enough & F.col("seen").rlike(r"\p{L}{2}")).otherwise(enough))
+    met = met.where(F.levenshtein("seen_form", "form", 1) >= 0).select("seen", "word", "seen_n", "n").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, own = shared.value
         for batch in batches:
             rows = batch.to_pylist()
             if rows:
-                p = model.value.probability(np.array([correction_features(r["seen"], r["word"], r["seen_n"], r["n"]) for r in rows]))
-                keep = [(r["seen"], r["word"], float(q)) for r, q in zip(rows, p) if q >= 0.5]
-                yield pa.RecordBatch.from_arrays([pa.array([k[c] for k in keep], t) for c, t in enumerate((pa.string(), pa.string(), pa.float64()))], ["word", "better", "p"])
+                p = model.probability(np.array([correction_features(own, r["seen"], r["word"], r["seen_n"], r["n"]) for r in rows]))
+                keep = [(r["seen"], r["word"], own.form(r["seen"]) == own.form(r["word"]), r["n"], float(q)) for r, q in zip(rows, p) if q >= 0.5]
+                yield pa.RecordBatch.from_arrays([pa.array([k[c] for k in keep], t) for c, t in enumerate((pa.string(), pa.string(), pa.bool_(), pa.int64(), pa.float64()))], ["word", "better", "same", "n", "p"])
 
-    ranked = met.select("seen", "word", "seen_n", "n").mapInArrow(run, "word string, better string, p double")
-    best = ranked.withColumn("r", F.row_number().over(Window.partitionBy("word").orderBy(F.desc("p"), "better"))).where("r = 1")
+    # of the words that pass, one of the same strokes, and of those the most frequent, since others may be misread themselves
+    order = Window.partitionBy("word").orderBy(F.desc("same"), F.desc("n"), F.desc("p"), "better")
+    best = met.mapInArrow(run, "word string, better string, same boolean, n bigint, p double").withColumn("r", F.row_number().over(order)).where("r = 1")
     return best.select("word", "better")
 
 
@@ -411,8 +473,9 @@ def repaired_pages(scans: DataFrame) -> DataFrame:
     words = durable(lexicon(pages))
     pairs = durable(pages.mapInArrow(_pair_rows, "pk bigint, line int, left string, right string"))
     joins = durable(join_decisions(pairs, words))
-    wrong = durable(corrections(words, joins.select(F.concat("left", "right").alias("word")).distinct()))
-    marks = furniture(pages)
+    strokes = learn_strokes(words)
+    wrong = durable(corrections(words, joins.select(F.concat("left", "right").alias("word")).distinct(), strokes))
+    marks = furniture(pages, strokes)
     # all of these lists are bounded by one page
     page_joins = pairs.join(joins, ["left", "right"]).groupBy("pk").agg(F.collect_set(F.struct("left", "right")).alias("joins"))
     types = pages.mapInArrow(_page_types, "pk bigint, word string").union(pairs.select("pk", F.concat("left", "right")))
