@@ -1,18 +1,18 @@
 """Evaluation passages inside training documents, by the CGK embedding and bit-sampling hashing.
 
-A passage is a window of `SPAN` words. The CGK embedding walks over a window's words: at step j it writes the
-current word and moves on if bit j of the word's hash is set. Windows at small edit distance then differ in few of the `STEPS`
+A passage is a window of `span` words (`SPAN` where nothing else is said, the least that counts as a leak). The CGK embedding walks over a window's words: at step j it writes the
+current word and moves on if bit j of the word's hash is set. Windows at small edit distance then differ in few of the
 written places, so edit distance becomes Hamming distance. Each key hashes `SAMPLED` random places, apart from each other, of one of `WALKS` independent embeddings, which
 fail apart; equal windows agree in every key, so one key finds them all, and windows with up to two edits agree in one of the `TABLES` keys with a
-probability of at least 0.9, the recall asked for (`tests/llm/test_leakage.py` measures it). Windows of documents whose key meets
-that of an item's window are verified by their exact edit distance.
+probability of at least 0.9, the recall asked for (`tests/llm/test_leakage.py` measures it).
 
-The items are a stated query set. They are used in blocks of at most `BLOCK_WINDOWS` windows, each broadcast, however many there are.
+Documents and items meet in one join by key, however many items there are. Documents are read once: a bit filter of the items' keys (`FILTER_BITS` bits, its size does not
+depend on the items; a full one only lets more through) drops windows no item can have. Equal windows of all documents are folded before the join, verified once by exact
+edit distance, and then given back to the documents that hold them.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -21,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import mix64, texts_of, word_codes
+from quarrymill.llm.common import attach, mix64, texts_of, word_codes
+from quarrymill.session import durable
 
 SPAN = 10
 STEPS = 24
@@ -31,8 +32,8 @@ WALKS = 12
 #: A walk is seldom past the window before this step; places after it say little, and places less than `_APART` apart often hold the same word.
 _WITHIN = 16
 _APART = 4
-BLOCK_WINDOWS = 200_000
-_FILTER_BITS = 22
+#: 2 MB to every executor.
+FILTER_BITS = 24
 
 _rng = np.random.default_rng(20)
 # sampled places less (_APART - 1) each are any places of a shorter walk
@@ -88,114 +89,100 @@ def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
     return min(row[-1], most + 1)
 
 
-class ItemWindows:
-    """The windows of a block of items, findable by their keys."""
-
-    def __init__(self, items: list[tuple[str, str]], tables: int = TABLES):
-        self.tables = tables
-        codes, counts = word_codes([text for _, text in items])
-        starts, text = window_starts(counts)
-        rows = codes[starts[:, None] + np.arange(SPAN)] if len(starts) else np.zeros((0, SPAN), np.uint64)
-        names = np.array([item for item, _ in items], dtype=object)[text] if len(text) else np.zeros(0, object)
-        # one entry a distinct window, with all items that have it
-        self.windows, inverse = np.unique(rows, axis=0, return_inverse=True)
-        self.items: list[set[str]] = [set() for _ in self.windows]
-        for w, name in zip(inverse.ravel(), names):
-            self.items[w].add(name)
-        keys = window_keys(self.windows.ravel(), np.arange(len(self.windows)) * SPAN, tables=tables)
-        self.keys, self.owner, self.filter = [], [], []
-        for t in range(tables):
-            order = np.argsort(keys[:, t], kind="stable")
-            self.keys.append(keys[order, t])
-            self.owner.append(order)
-            known = np.zeros(1 << _FILTER_BITS, dtype=bool)
-            known[(keys[:, t] >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
-            self.filter.append(known)
-
-    def candidates(self, keys: np.ndarray) -> np.ndarray:
-        """(window among those of `keys`, own window) pairs that share a key, each once."""
-        found = []
-        for t in range(self.tables):
-            maybe = np.flatnonzero(self.filter[t][(keys[:, t] >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
-            k = keys[maybe, t]
-            lo, hi = np.searchsorted(self.keys[t], k, "left"), np.searchsorted(self.keys[t], k, "right")
-            n = hi - lo
-            if n.any():
-                left = np.repeat(maybe, n)
-                offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                found.append(np.stack([left, self.owner[t][np.repeat(lo, n) + offset]], axis=1))
-        return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-
-
-def shared_words(codes: np.ndarray, starts: np.ndarray, index: ItemWindows, pairs: np.ndarray) -> np.ndarray:
-    """How many words of the first window of each pair the second has too."""
-    rows, own = codes[starts[pairs[:, 0]][:, None] + np.arange(SPAN)], index.windows[pairs[:, 1]]
-    n = np.zeros(len(pairs), dtype=np.int64)
-    for k in range(SPAN):
-        n += (own == rows[:, k, None]).any(axis=1)
-    return n
-
-
-def leaked(index: ItemWindows, texts: list[str | None], most_edits: int) -> list[dict[str, tuple[int, int]]]:
-    """For each text, of each leaked item: (fewest edits of a window, number of the text's windows that hold a passage)."""
-    out: list[dict[str, tuple[int, int]]] = [{} for _ in texts]
-    codes, counts = word_codes(texts)
-    starts, owner = window_starts(counts)
-    if not len(starts) or not len(index.windows):
-        return out
-    pairs = index.candidates(window_keys(codes, starts, tables=index.tables))
-    if most_edits:
-        # windows within the edits share all words but those; what a common word brought together goes here
-        pairs = np.concatenate([some[shared_words(codes, starts, index, some) >= SPAN - most_edits] for some in np.array_split(pairs, len(pairs) // 100_000 + 1)])
-    rows = codes[starts[pairs[:, 0]][:, None] + np.arange(SPAN)]
-    same = (rows == index.windows[pairs[:, 1]]).all(axis=1)
-    held: dict[tuple[int, str], tuple[int, set[int]]] = {}
-    for n, (w, i) in enumerate(pairs.tolist()):
-        if same[n]:
-            edits = 0
-        elif most_edits:
-            edits = edit_distance(rows[n].tolist(), index.windows[i].tolist(), most_edits)
-        else:
-            continue
-        if edits <= most_edits:
-            for item in index.items[i]:
-                key = (int(owner[w]), item)
-                best, windows = held.get(key, (edits, set()))
-                windows.add(w)
-                held[key] = (min(best, edits), windows)
-    for (t, item), (best, windows) in held.items():
-        out[t][item] = (best, len(windows))
+def _item_windows(tables: int, span: int):
+    """A row for each window of an item and each of its keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes, counts = word_codes(texts_of(batch, "t"))
+            starts, owner = window_starts(counts, span)
+            keys = window_keys(codes, starts, span, tables)
+            window = _bytes(codes, starts, span)
+            row = pa.array(np.repeat(owner, tables))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(row), pa.array(keys.ravel().view(np.int64)), pa.array([w for w in window for _ in range(tables)], pa.binary())], ["item", "key", "own"])
+
+    return run
+
+
+def _bytes(codes: np.ndarray, starts: np.ndarray, span: int) -> list[bytes]:
+    raw = np.ascontiguousarray(codes[starts[:, None] + np.arange(span)]).tobytes() if len(starts) else b""
+    return [raw[i : i + 8 * span] for i in range(0, len(raw), 8 * span)]
+
+
+def _document_windows(bits: np.ndarray, tables: int, span: int):
+    """A row for each window of a document and each of its keys that the filter knows."""
+    import xxhash
+
+    shift = np.uint64(65 - (64 * len(bits)).bit_length())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for s in range(0, whole.num_rows, 2000):
+                batch = whole.slice(s, 2000)
+                codes, counts = word_codes(texts_of(batch, "t"))
+                starts, owner = window_starts(counts, span)
+                if not len(starts):
+                    continue
+                keys = window_keys(codes, starts, span, tables)
+                place = keys >> shift
+                w, t = np.nonzero((bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1))
+                window = _bytes(codes, starts[w], span)
+                first = np.cumsum(counts) - counts
+                cols = [pa.array(starts[w] - first[owner[w]]), pa.array(keys[w, t].view(np.int64)), pa.array([xxhash.xxh3_128_digest(x) for x in window], pa.binary()), pa.array(window, pa.binary())]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner[w])), *cols], ["doc", "first_word", "key", "digest", "held"])
+
+    return run
+
+
+def _verified(most_edits: int, span: int):
+    """The pairs of windows within `most_edits` word edits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for s in range(0, whole.num_rows, 50_000):
+                batch = whole.slice(s, 50_000)
+                a, b = (np.frombuffer(b"".join(texts_of(batch, c)), dtype=np.uint64).reshape(-1, span) for c in ("held", "own"))
+                edits = np.where((a == b).all(axis=1), 0, most_edits + 1)
+                if most_edits:
+                    # windows within the edits share all words but those; what a common word brought together goes here
+                    common = sum((b == a[:, k, None]).any(axis=1).astype(np.int64) for k in range(span))
+                    for n in np.flatnonzero((edits > 0) & (common >= span - most_edits)):
+                        edits[n] = edit_distance(a[n].tolist(), b[n].tolist(), most_edits)
+                keep = np.flatnonzero(edits <= most_edits)
+                yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep)) for c in (0, 1)] + [pa.array(edits[keep], pa.int32())], ["digest", "item", "edits"])
+
+    return run
+
+
+def key_filter(keys: DataFrame) -> np.ndarray:
+    """2^FILTER_BITS bits, set where a key's leading bits point; 64 of them a word."""
+    place = F.shiftrightunsigned("key", 64 - FILTER_BITS)
+    placed = keys.select(place.alias("place")).select(F.shiftright("place", 6).alias("word"), F.expr("shiftleft(1L, cast(place & 63 as int))").alias("bit"))
+    words = placed.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(1 << (FILTER_BITS - 6), dtype=np.uint64)
+    out[words.column(0).to_numpy()] = words.column(1).to_numpy().view(np.uint64)
     return out
 
 
-def leaked_items(documents: DataFrame, items: DataFrame, texts: list[str], key: str = "doc_id", text: str = "text", item: str = "id", most_edits: int = 0) -> DataFrame:
-    """(key, item_id, edits, windows): documents that hold SPAN consecutive words of an item's text, up to `most_edits` word edits.
+def leaked_items(documents: DataFrame, items: DataFrame, texts: list[str], key: str = "doc_id", text: str = "text", item: str = "id", most_edits: int = 0, span: int = SPAN) -> DataFrame:
+    """(key, item_id, edits, windows): documents that hold `span` consecutive words of an item's text, up to `most_edits` word edits.
 
-    `texts` are the item's columns, each taken by itself. Null texts and texts of fewer than SPAN words hold and leak nothing;
-    copies are reported each; an item with the same passage as another is reported with it.
+    edits: the fewest of any of the document's windows; windows: how many of them hold a passage of the item. `texts` are the item's columns, each taken by itself. Null
+    texts and texts of fewer than `span` words hold and leak nothing; copies are reported each; an item with the same passage as another is reported with it.
     """
     spark = documents.sparkSession
+    tables = TABLES if most_edits else 1
     queries = reduce(DataFrame.union, [items.select(F.col(item).cast("string").alias("item"), F.col(c).alias("t")) for c in texts]).where(F.col("t").isNotNull())
-    # every item of a block is in one broadcast; blocks follow the number of characters, an upper bound of the windows
-    size = queries.agg(F.sum(F.length("t"))).first()[0] or 0
-    blocks = max(1, math.ceil(size / 2 / BLOCK_WINDOWS))
+    asked = durable(queries.mapInArrow(_item_windows(tables, span), "item string, key bigint, own binary").distinct())
+    bits = spark.sparkContext.broadcast(key_filter(asked))
     kind = documents.schema[key].dataType.simpleString()
-    parts = []
-    for n in range(blocks):
-        block = queries.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == n).select("item", "t").collect()
-        shared = spark.sparkContext.broadcast(ItemWindows([(r.item, r.t) for r in block], TABLES if most_edits else 1))
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for whole in batches:
-                for s in range(0, whole.num_rows, 2000):
-                    batch = whole.slice(s, 2000)
-                    at, rows = [], []
-                    for i, held in enumerate(leaked(shared.value, texts_of(batch, text), most_edits)):
-                        for name in sorted(held):
-                            at.append(i)
-                            rows.append((name, *held[name]))
-                    cols = [pa.array([r[c] for r in rows], t) for c, t in enumerate((pa.string(), pa.int32(), pa.int32()))]
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *cols], [key, "item_id", "edits", "windows"])
-
-        parts.append(documents.select(key, text).mapInArrow(run, f"`{key}` {kind}, item_id string, edits int, windows int"))
-    return reduce(DataFrame.union, parts)
+    chosen = documents.select(F.col(key).alias("doc"), F.col(text).alias("t"))
+    hits = durable(chosen.mapInArrow(lambda batches: _document_windows(bits.value, tables, span)(batches), f"doc {kind}, first_word bigint, key bigint, digest binary, held binary"))
+    # each different window once: a passage that very many documents hold is verified once
+    windows = hits.groupBy("digest", "key").agg(F.first("held").alias("held"))
+    same = windows.join(asked, "key").select("digest", "item", "held", "own").mapInArrow(_verified(most_edits, span), "digest binary, item string, edits int")
+    same = same.groupBy("digest", "item").agg(F.min("edits").alias("edits"))
+    holders = hits.select("doc", "first_word", "digest").distinct()
+    copies = holders.groupBy("digest").agg(F.count(F.lit(1)).alias("copies"))
+    found = attach(holders, durable(same.join(copies, "digest")), "digest")
+    return found.groupBy("doc", "item").agg(F.min("edits").alias("edits"), F.count_distinct("first_word").cast("int").alias("windows")).select(F.col("doc").alias(key), F.col("item").alias("item_id"), "edits", "windows")

@@ -33,12 +33,23 @@ def test_against_brute_force(spark):
     assert K.leaked_items(documents.where("doc_id > 500"), asked, ["query"]).count() == 0
 
 
-def test_blocks_of_items(spark, monkeypatch):
-    monkeypatch.setattr(K, "BLOCK_WINDOWS", 30)
+def test_a_passage_of_many_items_and_documents(spark):
     text = "one two three four five six seven eight nine ten"
     asked = spark.createDataFrame([(f"i{k}", f"{text} {k} eleven twelve") for k in range(12)], "id string, query string")
     got = K.leaked_items(spark.createDataFrame([(1, "so " + text + " end")], "doc_id bigint, text string"), asked, ["query"]).collect()
     assert {r.item_id for r in got} == {f"i{k}" for k in range(12)}
+    many = spark.createDataFrame([(d, f"{d} {text} end") for d in range(300)], "doc_id bigint, text string")
+    assert K.leaked_items(many, asked, ["query"]).count() == 300 * 12
+
+
+def test_filter_drops_no_window(spark, monkeypatch):
+    """A filter so small that it is full only lets more windows through to the join."""
+    monkeypatch.setattr(K, "FILTER_BITS", 7)
+    rng = random.Random(6)
+    items = [(f"i{k}", " ".join(rng.choice("abcdefghij") * 2 for _ in range(14))) for k in range(40)]
+    docs = [(k, f"start {t} end") for k, (_, t) in enumerate(items)]
+    got = {(r.doc_id, r.item_id) for r in K.leaked_items(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "id string, query string"), ["query"], span=12).collect()}
+    assert got == {(k, f"i{k}") for k in range(40)}
 
 
 def test_edited_passages(spark):
