@@ -136,12 +136,13 @@ def _differenced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for place, host, keys, kinds, lines in zip(*(texts_of(batch, c) for c in ("place", "host", "keys", "kinds", "lines"))):
-            if place < 0:
+            if place == _KNOWN:
                 common = set(lines)
                 past.clear()
                 continue
-            if not place:
-                past.clear()
+            if place < 0:
+                past.append((keys, kinds))  # the neighbours before the block
+                continue
             own_tally = tally.setdefault(host, {})
             for other, other_kinds in past:
                 i, j = aligned(keys, other)
@@ -200,9 +201,9 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for place, host, digest, numbers, keys, kinds, menu, lines, flags in zip(*(texts_of(batch, c) for c in ("place", "host", "digest", "numbers", "keys", "kinds", "menu", "lines", "flags"))):
-            if place < 0:
+            if place == _KNOWN:
                 known = dict(zip(lines, flags))
-            elif found := foreign_lines(numbers, keys, kinds, menu, known):
+            elif place >= 0 and (found := foreign_lines(numbers, keys, kinds, menu, known)):
                 rows.append((host, digest, found))
         types = (pa.string(), pa.string(), pa.list_(pa.int32()))
         yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(types)], ["host", "digest", "found"])
@@ -230,40 +231,67 @@ def _hashed_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), *(pa.array([r[c] for r in rows], t) for c, t in enumerate(types))], ["host", "path", "digest", "numbers", "keys", "kinds", "menu"])
 
 
+#: The place of the row with what is known of a block's lines, before all pages.
+_KNOWN = -1000
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each page with the block of neighbours of its host that it is in, and its place there."""
+    """Each page with the block of neighbours of its host that it is in, and its place there.
+
+    The last pages of a block stand at negative places before the next block of the host too, where they are only compared with. `part` and `row` say where a page came.
+    """
     import xxhash
+    from pyspark import TaskContext
 
+    part, row = TaskContext.get().partitionId(), 0
     last, block, place = None, 0, BLOCK
+    past: list[dict] = []
     for batch in batches:
-        blocks, places = [], []
-        for host, digest in zip(texts_of(batch, "host"), texts_of(batch, "digest")):
-            place += 1
-            if host != last or place >= BLOCK:
-                last, place = host, 0
-                block = xxhash.xxh3_64_intdigest(f"{host}\n{digest}".encode()) - (1 << 63)
-            blocks.append(block)
-            places.append(place)
-        yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(places, pa.int32()), *batch.columns], ["block", "place", *batch.schema.names])
+        out = []
+        for page in batch.to_pylist():
+            place, row = place + 1, row + 1
+            if page["host"] != last or place >= BLOCK:
+                if page["host"] != last:
+                    past = []
+                last, place = page["host"], 0
+                block = xxhash.xxh3_64_intdigest(f"{page['host']}\n{page['digest']}".encode()) - (1 << 63)
+                out += [{**p, "part": part, "row": -1, "block": block, "place": n - len(past)} for n, p in enumerate(past)]
+            out.append({**page, "part": part, "row": row, "block": block, "place": place})
+            past = [*past, page][-NEIGHBOURS:]
+        if out:
+            yield pa.RecordBatch.from_pylist(out, _BLOCK_TYPE)
+
+
+_BLOCK_TYPE = pa.schema([("part", pa.int32()), ("row", pa.int64()), ("block", pa.int64()), ("place", pa.int32()), ("host", pa.string()), ("digest", pa.string()), ("numbers", pa.list_(pa.int32())), ("keys", pa.list_(pa.int64())), ("kinds", pa.list_(pa.int8())), ("menu", pa.bool_())])
+
+
+def _carried(blocks: DataFrame) -> DataFrame:
+    """`blocks` with the last pages of each partition before the first block of the next one too, if that has the same host: a few rows a partition."""
+    ends = blocks.where("place >= 0").groupBy("part").agg(F.max("row").alias("last"), F.min_by(F.struct("host", "block"), "row").alias("first"))
+    heads = F.broadcast(ends.select((F.col("part") - 1).alias("part"), F.col("first.host").alias("host"), F.col("first.block").alias("next")))  # a row a partition
+    tails = blocks.where("place >= 0").join(F.broadcast(ends.select("part", "last")), "part").where(F.col("row") > F.col("last") - NEIGHBOURS)
+    before = tails.join(heads, ["part", "host"]).withColumns({"place": (F.col("row") - F.col("last") - 1).cast("int"), "block": F.col("next"), "row": F.lit(-1).cast("bigint")})
+    return blocks.union(before.select(*blocks.columns))
 
 
 def _beside(pages: DataFrame, lines: DataFrame) -> DataFrame:
     """The pages block by block in order, before each block a row with what is known of its lines: rows of block, line, flag."""
-    known = lines.groupBy("block").agg(F.collect_list(F.struct("line", "flag")).alias("x")).select("block", F.lit(-1).alias("place"), F.col("x.line").alias("lines"), F.col("x.flag").alias("flags"))
-    none = pages.select("block").distinct().join(known.select("block"), "block", "left_anti").select("block", F.lit(-1).alias("place"), F.array().cast("array<bigint>").alias("lines"), F.array().cast("array<int>").alias("flags"))
+    known = lines.groupBy("block").agg(F.collect_list(F.struct("line", "flag")).alias("x")).select("block", F.lit(_KNOWN).alias("place"), F.col("x.line").alias("lines"), F.col("x.flag").alias("flags"))
+    none = pages.select("block").distinct().join(known.select("block"), "block", "left_anti").select("block", F.lit(_KNOWN).alias("place"), F.array().cast("array<bigint>").alias("lines"), F.array().cast("array<int>").alias("flags"))
     rows = pages.unionByName(known, allowMissingColumns=True).unionByName(none, allowMissingColumns=True)
     return rows.repartition(parallelism(pages.sparkSession, 12), "block").sortWithinPartitions("block", "place")
 
 
 def line_profiles(pages: DataFrame) -> DataFrame:
     """(host, line, flag): what differencing says of the lines that several pages have. `pages` are in blocks, each text of a host once."""
-    here = durable(pages.groupBy("block", "host").agg(F.array_distinct(F.flatten(F.collect_list("keys"))).alias("lines")).select("block", "host", F.explode("lines").alias("line")))
+    every, pages = pages, pages.where("place >= 0")
+    here = durable(every.groupBy("block", "host").agg(F.array_distinct(F.flatten(F.collect_list("keys"))).alias("lines")).select("block", "host", F.explode("lines").alias("line")))
     spread = pages.select("host", F.explode(F.array_distinct("keys")).alias("line")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))
     spread = spread.join(pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages")), "host")
     pooled = spread.groupBy("line").agg(F.sum("n").alias("all_n"), F.sum("pages").alias("all_pages")).where(F.col("all_n") >= LEAST_PAGES)
     spread = durable(spread.join(pooled, "line"))
     common = here.join(spread.select("host", "line", F.lit(0).alias("flag")), ["host", "line"])
-    partial = _beside(pages, common).select("place", "host", "keys", "kinds", "lines").mapInArrow(_differenced, "host string, line bigint, shared bigint, inside bigint, leads bigint, marked bigint")
+    partial = _beside(every, common).select("place", "host", "keys", "kinds", "lines").mapInArrow(_differenced, "host string, line bigint, shared bigint, inside bigint, leads bigint, marked bigint")
     counts = ("shared", "inside", "marked")
     own = durable(partial.groupBy("host", "line").agg(*(F.sum(c).alias(c) for c in counts)))
     every = own.groupBy("line").agg(*(F.sum(c).alias(f"all_{c}") for c in counts))
@@ -286,7 +314,8 @@ def _found(records: DataFrame, text: str, url: str) -> DataFrame:
     once = durable(once)
     ordered = once.repartitionByRange(parallelism(records.sparkSession, 12), "host", "path", "digest").sortWithinPartitions("host", "path", "digest")
     placed = ordered.select("host", "digest", "numbers", "keys", "kinds", "menu")
-    blocks = durable(placed.mapInArrow(_blocks, f"block bigint, place int, {_PAGE.replace('path string, ', '')}"))
+    blocks = durable(placed.mapInArrow(_blocks, f"part int, row bigint, block bigint, place int, {_PAGE.replace('path string, ', '')}"))
+    blocks = _carried(blocks).drop("part", "row")
     return _beside(blocks, line_profiles(blocks)).mapInArrow(_judged, "host string, digest string, found array<int>")
 
 

@@ -89,6 +89,12 @@ def p9_shares(spark: SparkSession, root: str) -> DataFrame:
     return mix_shares(p9_mix(spark, root), table(spark, root, "mix_targets"))
 
 
+def p9_stock_shares(spark: SparkSession, root: str) -> DataFrame:
+    """A mix of as many tokens as all texts have: sources whose repeats are used up fall short of their share."""
+    documents, targets = table(spark, root, "documents"), table(spark, root, "mix_targets")
+    return mix_shares(mix(documents, targets, total_tokens="stock"), targets)
+
+
 def p10_found(spark: SparkSession, root: str) -> DataFrame:
     return personal_spans(table(spark, root, "documents")).select("doc_id", "kind", "val").distinct()
 
@@ -115,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p8_passages": p8_passages,
     "p9_mix": p9_mix,
     "p9_shares": p9_shares,
+    "p9_stock_shares": p9_stock_shares,
     "p10_found": p10_found,
     "p10_masked": p10_masked,
 }
