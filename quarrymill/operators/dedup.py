@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,6 +54,53 @@ def similar_sets(sets: DataFrame, threshold: float) -> DataFrame:
     return scored.where(F.col("similarity") >= threshold)
 
 
+#: 32 bands of 4 min-hashes: two sets of similarity 0.8 share none with a probability of 5 in 10^8, of 0.7 with 2 in 10^4.
+BANDS, ROWS = 32, 4
+
+
+def minhash_bands(sets: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """(id, band): a 64-bit key for each band of a set's min-hashes. `sets` is (id, shingles), shingles being hashes."""
+    rng = np.random.default_rng(1)
+    seeds = rng.integers(1, 1 << 62, bands * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shingles = batch.column(1)
+            if not batch.num_rows:
+                continue
+            values, starts = shingles.flatten().to_numpy().view(np.uint64), shingles.offsets.to_numpy()[:-1] - shingles.offsets[0].as_py()
+            keys = np.zeros((bands, batch.num_rows), dtype=np.uint64)
+            for n, seed in enumerate(seeds):
+                h = (values ^ (seed >> np.uint64(9))) * seed
+                h ^= h >> np.uint64(32)
+                keys[n // rows] = (keys[n // rows] ^ np.minimum.reduceat(h, starts)) * np.uint64(0x9E3779B97F4A7C15)
+            keys ^= keys >> np.uint64(29)
+            keys += np.arange(bands, dtype=np.uint64)[:, None]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.tile(np.arange(batch.num_rows), bands))), pa.array(keys.ravel().view(np.int64))], ["id", "band"])
+
+    return sets.select("id", "shingles").where("size(shingles) > 0").mapInArrow(run, "id bigint, band bigint")
+
+
+def lsh_pairs(sets: DataFrame, threshold: float, spread: int = 2000) -> DataFrame:
+    """(a, b, similarity): pairs of ids whose sets have a Jaccard similarity of at least `threshold`, among those that share a band.
+
+    A band key of very many sets is cut into pieces of about `spread` sets by a hash of the id; each pair of pieces is joined in its own group, so no bucket ends in one task and no pair is
+    lost. Sets follow only for the pairs that met.
+    """
+    sets = durable(sets)
+    banded = durable(minhash_bands(sets))
+    size = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band", F.ceil(F.col("n") / spread).cast("int").alias("pieces"))
+    cut = banded.join(size, "band").withColumn("piece", F.pmod(F.xxhash64("id"), F.col("pieces").cast("bigint")).cast("int"))
+    others = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))
+    a = cut.select("band", F.col("id").alias("a"), F.col("piece").alias("i"), others.alias("j"))
+    b = cut.select("band", F.col("id").alias("b"), others.alias("i"), F.col("piece").alias("j"))
+    met = a.join(b, ["band", "i", "j"]).where("a < b").select("a", "b").distinct()
+    both = met.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
+    near = both.where(F.least(F.size("x"), F.size("y")) >= threshold * F.greatest(F.size("x"), F.size("y")) - 1e-9)
+    common = F.size(F.array_intersect("x", "y"))
+    return near.select("a", "b", (common / (F.size("x") + F.size("y") - common)).alias("similarity")).where(F.col("similarity") >= threshold)
+
+
 def near_duplicates(df: DataFrame, key: str, text: str, threshold: float = 0.8, size: int = 5) -> tuple[DataFrame, DataFrame]:
     """(pairs between class representatives, members): exact copies are folded first, pairs join different texts.
 
@@ -57,19 +108,19 @@ def near_duplicates(df: DataFrame, key: str, text: str, threshold: float = 0.8,
     """
     hashed = df.select(F.col(key).alias("id"), F.col(text).alias("t"), F.sha2(F.col(text), 256).alias("h")).where("t is not null")
     first = hashed.groupBy("h").agg(F.min("id").alias("representative"))
-    members = hashed.join(first, "h").select("id", "representative")
+    members = hashed.select("id", "h").join(first, "h").select("id", "representative")
     texts = hashed.join(first.select(F.col("representative").alias("id")), "id", "left_semi")
-    return similar_sets(shingle_sets(texts, "id", "t", size), threshold), members
+    return lsh_pairs(shingle_sets(texts, "id", "t", size), threshold), members
 
 
-def components(nodes: DataFrame, links: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(id, component): the smallest id that links reach from each node, by alternating large-star and small-star steps.
 
     Every step is a grouped minimum, so a node with very many links is folded before the shuffle; the rounds grow with the logarithm of the component's
     diameter. Nodes without links are their own component; links to unknown nodes count as nodes.
     """
     edges = durable(links.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u != v").distinct())
-    for _ in range(most_rounds):
+    while True:  # each round but the last brings some node a smaller neighbour, so it ends
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()

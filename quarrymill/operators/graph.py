@@ -42,21 +42,28 @@ def issues(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return repeated.union(missing).union(dangling)
 
 
-def label_communities(nodes: DataFrame, edges: DataFrame, rounds: int = 10) -> DataFrame:
+def label_communities(nodes: DataFrame, edges: DataFrame, most_rounds: int = 200) -> DataFrame:
     """(id, community): label propagation with ties to the smallest label; communities of at least two keep their label, others null.
 
-    In each round a node takes the label that most of its neighbours (and itself, counted once) have. Counts are combined on the map side, so a hub sends one line a label.
+    In each round a node takes the label that most of its neighbours (and itself, counted once) have; nodes take turns by a hash of their id (one half each round), so that
+    the two sides of a bipartite graph do not swap labels for ever. It ends when both halves stay as they are; if that has not happened in `most_rounds`, it raises. Counts
+    are combined on the map side, so a hub sends one line a label.
     """
     both = durable(edges.select("source_id", "target_id").union(edges.select("target_id", "source_id")).where("source_id != target_id").distinct())
     labels = durable(nodes.select("id", F.col("id").alias("label")).distinct())
-    for _ in range(rounds):
+    still = 0
+    for turn in range(most_rounds):
         said = both.join(labels, F.col("source_id") == F.col("id")).select(F.col("target_id").alias("id"), "label").union(labels)
         votes = said.groupBy("id", "label").agg(F.count(F.lit(1)).alias("n"))
-        new = durable(votes.groupBy("id").agg(F.min(F.struct((-F.col("n")).alias("n"), "label")).alias("best")).select("id", F.col("best.label").alias("label")).join(nodes.select("id").distinct(), "id", "left_semi"))
-        same = not new.exceptAll(labels).head(1)
-        labels = new
-        if same:
+        best = votes.groupBy("id").agg(F.min(F.struct((-F.col("n")).alias("n"), "label")).alias("best")).select("id", F.col("best.label").alias("best"))
+        mine = F.pmod(F.xxhash64("id"), F.lit(2)) == turn % 2
+        new = durable(labels.join(best, "id").select("id", F.when(mine, F.col("best")).otherwise(F.col("label")).alias("label"), (mine & (F.col("best") != F.col("label"))).alias("moved")))
+        still = 0 if new.where("moved").head(1) else still + 1
+        labels = new.select("id", "label")
+        if still == 2:
             break
+    else:
+        raise RuntimeError(f"labels still change after {most_rounds} rounds")
     size = labels.groupBy("label").agg(F.count(F.lit(1)).alias("members"))
     return labels.join(size, "label").select("id", F.when(F.col("members") > 1, F.col("label")).alias("community"))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
@@ -10,7 +12,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarrymill.functions.text import words
 from quarrymill.session import durable
 
 K1, B = 1.5, 0.75
@@ -22,31 +23,151 @@ def top_k(scored: DataFrame, query: str, item: str, score: str, k: int) -> DataF
     return ranked.where(F.col("rank") <= k)
 
 
-def bm25(docs: DataFrame, queries: DataFrame) -> DataFrame:
-    """(query_id, doc_id, score): BM25 of docs(doc_id, text) for queries(query_id, text), positive scores only.
+#: Most bytes of query words that are sent to every executor at once; more queries go in several passes.
+QUERY_BYTES = 64 << 20
+_WORD = re.compile(r"[^\W_]+")
 
-    Postings are built only for words that some query has: the query words are joined before the counts are shuffled.
+
+def _terms(text: str | None) -> list[str]:
+    return _WORD.findall(text.lower()) if text else []
+
+
+def _best(scores: np.ndarray, docs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the k best positive scores of each row, ties to the smaller document."""
+    rows, cols = [], []
+    for q in np.flatnonzero(scores.max(axis=1, initial=0) > 0):
+        at = np.flatnonzero(scores[q] > 0)
+        if len(at) > k:
+            at = at[scores[q, at] >= np.partition(scores[q, at], len(at) - k)[len(at) - k]]
+            at = at[np.lexsort((docs[at], -scores[q, at]))[:k]]
+        rows.append(np.full(len(at), q))
+        cols.append(at)
+    return (np.concatenate(rows), np.concatenate(cols)) if rows else (np.zeros(0, int), np.zeros(0, int))
+
+
+def _query_blocks(queries: DataFrame) -> list[list]:
+    """The stated queries on the driver, in blocks of at most QUERY_BYTES; usually one."""
+    size = queries.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, -(-size // QUERY_BYTES))
+    return [queries.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == n).select("query_id", "text").collect() for n in range(blocks)]
+
+
+def _scored(docs: DataFrame, queries: DataFrame, k: int, weigh, value_schema: str) -> DataFrame:
+    """Documents are read once and scored batch by batch against a block of queries; only each batch's k best of a query are shuffled."""
+    kind, key = (dict(f.dtypes)[c] for f, c in ((queries, "query_id"), (docs, "doc_id")))
+    names = ["query_id", "doc_id", *(f.split()[0] for f in value_schema.split(", "))]
+
+    parts = []
+    for block in _query_blocks(queries):
+        score = weigh(block)
+
+        def run(batches: Iterator[pa.RecordBatch], score=score) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for s in range(0, whole.num_rows, 1000):
+                    batch = whole.slice(s, 1000)
+                    ids, rows, cols, values = score(batch.column(1).to_pylist(), batch.column(0).to_numpy())
+                    if len(rows):
+                        yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows)), batch.column(0).take(pa.array(cols)), *values], names)
+
+        found = docs.select("doc_id", "text").mapInArrow(run, f"query_id {kind}, doc_id {key}, {value_schema}")
+        parts.append(top_k(found, "query_id", "doc_id", "score", k))
+    return reduce(DataFrame.union, parts)
+
+
+def _postings(texts: list[str | None], vocabulary: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(term, document, count) of the vocabulary's words in order of terms, and all lengths."""
+    lengths = np.zeros(len(texts), dtype=np.int64)
+    codes = []
+    for n, text in enumerate(texts):
+        ws = _terms(text)
+        lengths[n] = len(ws)
+        codes += [vocabulary[w] * len(texts) + n for w in ws if w in vocabulary]
+    pairs, counts = np.unique(np.array(codes, dtype=np.int64), return_counts=True)
+    return pairs // max(1, len(texts)), pairs % max(1, len(texts)), counts, lengths
+
+
+def _asked(block: list, least: int = 1) -> tuple[dict[str, int], list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """The words of the queries, for each of them the queries that have it and how often, and the number of different words of each query."""
+    vocabulary: dict[str, int] = {}
+    held: list[dict[int, int]] = []
+    sizes = np.zeros(len(block), dtype=np.int64)
+    for n, row in enumerate(block):
+        counts = Counter(w for w in _terms(row.text) if len(w) >= least)
+        sizes[n] = len(counts)
+        for w, c in counts.items():
+            if w not in vocabulary:
+                vocabulary[w] = len(held)
+                held.append({})
+            held[vocabulary[w]][n] = c
+    return vocabulary, [(np.array(list(h)), np.array(list(h.values()), dtype=float)) for h in held], sizes
+
+
+def bm25(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
+    """(query_id, doc_id, score, rank): the k best documents of docs(doc_id bigint, text) for each of queries(query_id, text) by BM25; positive scores only.
+
+    A first pass counts the documents of each query word (a row a word and task is shuffled), a second one scores; no posting is ever shuffled, so a word that a third of
+    all documents have costs no more than others. Null texts count as documents without words.
     """
-    asked = queries.select("query_id", F.explode(words(F.col("text"))).alias("term")).groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
-    cut = docs.select("doc_id", words(F.col("text")).alias("w"))
-    size = cut.agg(F.count(F.lit(1)).alias("n_docs"), F.avg(F.size("w")).alias("mean_len"))
-    vocabulary = asked.select("term").distinct()
-    # kept, since both the frequencies and the scores need it: the texts are cut into words once here and once for the lengths
-    tf = durable(cut.select("doc_id", F.size("w").alias("len"), F.explode("w").alias("term")).join(vocabulary, "term", "left_semi").groupBy("term", "doc_id", "len").agg(F.count(F.lit(1)).alias("tf")))
-    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    weight = tf.join(df, "term").crossJoin(F.broadcast(size))  # one row
-    idf = F.log1p((F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weight = weight.select("term", "doc_id", (idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / F.col("mean_len")))).alias("w"))
-    return asked.join(weight, "term").groupBy("query_id", "doc_id").agg(F.round(F.sum(F.col("qtf") * F.col("w")), 6).alias("score")).where("score > 0")
-
-
-def overlap_scores(docs: DataFrame, queries: DataFrame, least: int = 3) -> DataFrame:
-    """(query_id, doc_id, hits, score): share of a query's distinct words of at least `least` letters that a text has, plus up to 0.15 for more hits."""
-    asked = queries.select("query_id", F.explode(F.array_distinct(words(F.col("text")))).alias("term")).where(F.length("term") >= least)
-    size = asked.groupBy("query_id").agg(F.count(F.lit(1)).alias("terms"))
-    said = docs.select("doc_id", F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
-    hits = asked.join(said, "term").groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("hits"))
-    return hits.join(size, "query_id").select("query_id", "doc_id", "hits", F.round(F.col("hits") / F.col("terms") + F.least(F.lit(0.15), 0.03 * (F.col("hits") - 1)), 6).alias("score"))
+    blocks = _query_blocks(queries)
+    every = sorted({w for block in blocks for row in block for w in _terms(row.text)})
+    vocabulary = {w: n for n, w in enumerate(every)}
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, documents, words = np.zeros(len(vocabulary) + 1, dtype=np.int64), 0, 0
+        for batch in batches:
+            term, _, _, lengths = _postings(batch.column(0).to_pylist(), vocabulary)
+            df += np.bincount(term, minlength=len(df))
+            documents, words = documents + len(lengths), words + int(lengths.sum())
+        at = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, [-1, -2])), pa.array(np.append(df[at], [documents, words]))], ["term", "n"])
+
+    counted = {r.term: r.n for r in docs.select("text").mapInArrow(count, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect()}  # a row a query word
+    n_docs = counted.get(-1, 0)
+    mean = counted.get(-2, 0) / n_docs if n_docs else 0.0
+
+    def weigh(block: list):
+        words, held, _ = _asked(block)
+        df = np.array([counted.get(vocabulary[w], 0) for w in words], dtype=float)
+        idf = np.log(1 + (n_docs - df + 0.5) / (df + 0.5))
+        ids = pa.array([r.query_id for r in block])
+
+        def score(texts: list[str | None], docs: np.ndarray):
+            term, doc, tf, lengths = _postings(texts, words)
+            scores = np.zeros((len(block), len(texts)))
+            edges = np.searchsorted(term, np.arange(len(held) + 1))
+            for t in np.flatnonzero(np.diff(edges)):
+                d, f = doc[edges[t] : edges[t + 1]], tf[edges[t] : edges[t + 1]]
+                w = idf[t] * f * (K1 + 1) / (f + K1 * (1 - B + B * lengths[d] / mean))
+                scores[np.ix_(held[t][0], d)] += held[t][1][:, None] * w
+            scores = np.round(scores, 6)
+            rows, cols = _best(scores, docs, k)
+            return ids, rows, cols, [pa.array(scores[rows, cols])]
+
+        return score
+
+    return _scored(docs, queries, k, weigh, "score double")
+
+
+def overlap(docs: DataFrame, queries: DataFrame, k: int = 10, least: int = 3) -> DataFrame:
+    """(query_id, doc_id, hits, score, rank): share of a query's distinct words of at least `least` letters that a text has, plus up to 0.15 for more hits; the k best."""
+
+    def weigh(block: list):
+        words, held, sizes = _asked(block, least)
+        ids = pa.array([r.query_id for r in block])
+
+        def score(texts: list[str | None], docs: np.ndarray):
+            term, doc, _, _ = _postings(texts, words)
+            hits = np.zeros((len(block), len(texts)), dtype=np.int64)
+            edges = np.searchsorted(term, np.arange(len(held) + 1))
+            for t in np.flatnonzero(np.diff(edges)):
+                hits[np.ix_(held[t][0], doc[edges[t] : edges[t + 1]])] += 1
+            scores = np.where(hits > 0, np.round(hits / np.maximum(sizes, 1)[:, None] + np.minimum(0.15, 0.03 * (hits - 1)), 6), 0)
+            rows, cols = _best(scores, docs, k)
+            return ids, rows, cols, [pa.array(hits[rows, cols]), pa.array(scores[rows, cols])]
+
+        return score
+
+    return _scored(docs, queries, k, weigh, "hits bigint, score double")
 
 
 def dense_top_k(items: DataFrame, queries: DataFrame, k: int, block: int = 4096) -> DataFrame:
@@ -62,6 +183,9 @@ def dense_top_k(items: DataFrame, queries: DataFrame, k: int, block: int = 4096)
         part = queries.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == n).select("id", "vector").toArrow()
         ids = part.column("id").to_numpy()
         vectors = np.array(part.column("vector").to_pylist(), dtype=np.float64)
+        if len(ids):
+            usable = np.isfinite(vectors).all(axis=1) & (np.abs(vectors).sum(axis=1) > 0)  # others have no direction and find nothing
+            ids, vectors = ids[usable], vectors[usable]
         shared = spark.sparkContext.broadcast((ids, vectors))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

@@ -140,7 +140,7 @@ def exact_dedup_winners(spark: SparkSession, root: str) -> DataFrame:
 
 
 _SETS_SQL = r"""
-WITH t AS (SELECT min(doc_id) AS id, text FROM documents WHERE text IS NOT NULL GROUP BY text),
+WITH t AS (SELECT min(row_id) AS id, retrieval_text AS text FROM embedding_records WHERE retrieval_text IS NOT NULL GROUP BY 2),
 w AS (SELECT id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM t),
 s AS (SELECT DISTINCT id, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM w WHERE len(w) > 0),
 n AS (SELECT id, count(*) AS n FROM s GROUP BY id),
@@ -149,18 +149,22 @@ p AS (SELECT x.id AS a, y.id AS b, count(*) AS c FROM s x JOIN s y ON x.s = y.s
 
 @query(_SETS_SQL + " SELECT a, b, round(c / (na.n + nb.n - c), 6) AS similarity FROM p JOIN n na ON na.id = a JOIN n nb ON nb.id = b WHERE c / (na.n + nb.n - c) >= 0.8")
 def near_duplicate_pairs(spark: SparkSession, root: str) -> DataFrame:
-    pairs, _ = dedup.near_duplicates(table(spark, root, "documents"), "doc_id", "text")
+    pairs, _ = dedup.near_duplicates(table(spark, root, "embedding_records"), "row_id", "retrieval_text")
     return pairs.select("a", "b", F.round("similarity", 6).alias("similarity"))
 
 
-@query("SELECT doc_id AS id, min(doc_id) OVER (PARTITION BY text) AS representative FROM documents WHERE text IS NOT NULL")
+@query("SELECT row_id AS id, min(row_id) OVER (PARTITION BY retrieval_text) AS representative FROM embedding_records WHERE retrieval_text IS NOT NULL")
 def near_duplicate_members(spark: SparkSession, root: str) -> DataFrame:
-    return dedup.near_duplicates(table(spark, root, "documents"), "doc_id", "text")[1]
+    return dedup.near_duplicates(table(spark, root, "embedding_records"), "row_id", "retrieval_text")[1]
 
 
-@query()
+@query(
+    _SETS_SQL.replace("WITH t", "WITH RECURSIVE t") + """, l AS (SELECT a, b FROM p JOIN n na ON na.id = a JOIN n nb ON nb.id = b WHERE c / (na.n + nb.n - c) >= 0.8), u AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+ r AS (SELECT id, id AS c FROM t UNION SELECT r.id, u.b FROM r JOIN u ON r.c = u.a), k AS (SELECT id, min(c) AS component FROM r GROUP BY id)
+ SELECT e.row_id AS id, t.id AS representative, component FROM embedding_records e JOIN t ON e.retrieval_text = t.text JOIN k ON k.id = t.id"""
+)
 def near_duplicate_components(spark: SparkSession, root: str) -> DataFrame:
-    pairs, members = dedup.near_duplicates(table(spark, root, "documents"), "doc_id", "text")
+    pairs, members = dedup.near_duplicates(table(spark, root, "embedding_records"), "row_id", "retrieval_text")
     reps = members.select(F.col("representative").alias("id")).distinct()
     found = dedup.components(reps, pairs.select("a", "b"))
     return members.join(found.withColumnRenamed("id", "representative"), "representative").select("id", "representative", "component")

@@ -39,12 +39,12 @@ ok AS (SELECT query_id, doc_id, hits, round(hits / terms + least(0.15, 0.03 * (h
 
 @query("WITH " + _BM25_SQL + " SELECT query_id, doc_id, score, rank FROM bk")
 def bm25_topk(spark: SparkSession, root: str) -> DataFrame:
-    return retrieval.top_k(retrieval.bm25(passages(spark, root), asked(spark, root)), "query_id", "doc_id", "score", 10)
+    return retrieval.bm25(passages(spark, root), asked(spark, root), 10)
 
 
 @query("WITH " + _OVERLAP_SQL + " SELECT query_id, doc_id, hits, score, rank FROM ok")
 def lexical_overlap_topk(spark: SparkSession, root: str) -> DataFrame:
-    return retrieval.top_k(retrieval.overlap_scores(passages(spark, root), asked(spark, root)), "query_id", "doc_id", "score", 10)
+    return retrieval.overlap(passages(spark, root), asked(spark, root), 10)
 
 
 @query("WITH " + _BM25_SQL + ", " + _OVERLAP_SQL + """ SELECT * FROM (SELECT query_id, doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM

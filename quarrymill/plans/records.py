@@ -178,8 +178,8 @@ def merged_names(spark: SparkSession, root: str) -> DataFrame:
 
 
 @query(
-    r"""SELECT row_id, concat_ws(chr(10), 'TITLE: ' || nullif(trim(metadata['title']), ''), 'LANE: ' || lane, left(trim(regexp_replace(retrieval_text, '[ \t\r\n]+', ' ', 'g')), 200)) AS embedding_text FROM embedding_records"""
+    r"""SELECT row_id, concat_ws(chr(10), 'TITLE: ' || nullif(trim(metadata['title']), ''), 'LANE: ' || lane, trim(regexp_replace(retrieval_text, '[ \t\r\n]+', ' ', 'g'))) AS embedding_text FROM embedding_records"""
 )
 def embedding_texts(spark: SparkSession, root: str) -> DataFrame:
     title = F.nullif(F.trim(F.try_element_at("metadata", F.lit("title"))), F.lit(""))
-    return table(spark, root, "embedding_records").select("row_id", F.concat_ws("\n", F.concat(F.lit("TITLE: "), title), F.concat(F.lit("LANE: "), "lane"), F.left(T.clean(F.col("retrieval_text")), F.lit(200))).alias("embedding_text"))
+    return table(spark, root, "embedding_records").select("row_id", F.concat_ws("\n", F.concat(F.lit("TITLE: "), title), F.concat(F.lit("LANE: "), "lane"), T.clean(F.col("retrieval_text"))).alias("embedding_text"))

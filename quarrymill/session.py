@@ -13,12 +13,14 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; one of its own only where the session names none."""
+    """The shared folder of spark.checkpoint.dir; one of its own only where the session names none and all runs on this machine."""
     known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if known:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(known)
         return known
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     made = tempfile.mkdtemp(prefix="quarrymill-checkpoint-")
     spark.sparkContext.setCheckpointDir(made)
     spark.conf.set("spark.checkpoint.dir", made)

@@ -21,17 +21,34 @@ def read_json_lines(spark: SparkSession, path: str, schema: str) -> tuple[DataFr
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:
-    """Writes a folder of JSON lines beside `path` and puts it in place in one rename, so that a reader never sees half of it."""
+    """Writes a folder of JSON lines beside `path`, then puts it in place by renames: what was there is set aside first and deleted last.
+
+    A reader sees the old folder, for a moment none, or the new one, never half of it; after a crash the old one still lies beside, under `path`.old.
+    """
     spark = df.sparkSession
-    draft = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    draft, aside = f"{path.rstrip('/')}.{uuid.uuid4().hex}", f"{path.rstrip('/')}.old"
     df.write.json(draft)
     hadoop = spark._jvm.org.apache.hadoop.fs
-    source, target = hadoop.Path(draft), hadoop.Path(path)
+    source, target, old = hadoop.Path(draft), hadoop.Path(path), hadoop.Path(aside)
     system = source.getFileSystem(spark._jsc.hadoopConfiguration())
     if system.exists(target):
-        system.delete(target, True)
+        system.delete(old, True)
+        if not system.rename(target, old):
+            raise OSError(f"{path} could not be set aside")
     if not system.rename(source, target):
+        system.rename(old, target)
         raise OSError(f"{draft} could not be put at {path}")
+    system.delete(old, True)
+
+
+def read_json_or(spark: SparkSession, path: str, schema: str, default: list[tuple]) -> DataFrame:
+    """The JSON lines of a folder, or `default` where the folder is missing or holds a line that is no JSON of that schema."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+        rows, bad = read_json_lines(spark, path, schema)
+        if not bad.head(1):
+            return rows
+    return spark.createDataFrame(default, schema)
 
 
 def read_tree(spark: SparkSession, path: str, pattern: str = "*.md") -> DataFrame:
