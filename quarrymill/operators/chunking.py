@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarrymill.functions.text import words
+from quarrymill.functions.text import sentences, words
 
 
 def heading_lines(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -151,3 +151,26 @@ def markdown_chunks(df: DataFrame, key: str, text: str, target: int = 450, most:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *(pa.array([r[c] for r in rows], k) for c, k in enumerate(kinds))], [key, "chunk_index", "chunk_count", "section", "tokens", "chunk"])
 
     return df.select(key, text).mapInArrow(run, f"`{key}` {kind}, chunk_index int, chunk_count int, section string, tokens int, chunk string")
+
+
+def sentence_windows(docs: DataFrame, key: str, text: str, most_sentences: int = 4, most_chars: int = 700) -> DataFrame:
+    """(key, span_no, span): sentences packed into spans of at most `most_sentences`, ended early from 65 % of `most_chars` on; a longer sentence stands alone, cut at `most_chars`.
+
+    Null and empty texts have no span.
+    """
+
+    def fold(acc, s):
+        joined = F.when(acc["open"] == "", s).otherwise(F.concat(acc["open"], F.lit(" "), s))
+        over = (acc["open"] != "") & ((F.length(joined) > most_chars) | (acc["n"] >= most_sentences) | (F.length(acc["open"]) >= 0.65 * most_chars))
+        return F.struct(F.when(over, F.concat(acc["done"], F.array(acc["open"]))).otherwise(acc["done"]).alias("done"), F.when(over, s).otherwise(joined).alias("open"), F.when(over, 1).otherwise(acc["n"] + 1).alias("n"))
+
+    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"), F.lit(0).alias("n"))
+    spans = F.aggregate("s", start, fold, lambda acc: F.when(acc["open"] == "", acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["open"]))))
+    cut = docs.where(F.col(text).isNotNull()).select(key, sentences(F.col(text)).alias("s")).select(key, F.posexplode(spans).alias("span_no", "span"))
+    return cut.select(key, "span_no", F.left("span", F.lit(most_chars)).alias("span"))
+
+
+def enforce_chunk_limit(chunks: DataFrame, text: str, most_chars: int) -> DataFrame:
+    """`chunks`, whose reading fails if any text is longer than `most_chars`: nothing is ever cut to fit."""
+    long = F.concat(F.lit("chunk of "), F.length(text).cast("string"), F.lit(f" characters, at most {most_chars} are allowed"))
+    return chunks.withColumn(text, F.when(F.length(text) > most_chars, F.raise_error(long)).otherwise(F.col(text)))

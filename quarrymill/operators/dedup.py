@@ -151,3 +151,11 @@ def hamming_pairs(df: DataFrame, key: str, bits_hex: str, radius: int = 2) -> Da
     a, b = cut.select(F.col("h").alias("a"), F.col("v").alias("va"), "p", "x"), cut.select(F.col("h").alias("b"), F.col("v").alias("vb"), "p", "x")
     distance = F.bit_count(F.col("va").bitwiseXOR(F.col("vb")))
     return a.join(b, ["p", "x"]).where(F.col("a") < F.col("b")).select("a", "b", distance.alias("distance")).where(F.col("distance") <= radius).distinct()
+
+
+def unique_by_id(df: DataFrame, key: str, content: str) -> DataFrame:
+    """One row an id; an id with different contents makes the reading fail, equal rows fold. Other columns come from one of the equal rows."""
+    others = [c for c in df.columns if c != key]
+    folded = df.groupBy(key).agg(F.count_distinct(content).alias("_n"), F.min_by(F.struct(*others), F.struct(content)).alias("_r"))
+    clash = F.concat(F.lit("conflicting contents of id "), F.col(key).cast("string"))
+    return folded.select(F.when(F.col("_n") > 1, F.raise_error(clash)).otherwise(F.col(key)).alias(key), *(F.col(f"_r.{c}").alias(c) for c in others))

@@ -65,7 +65,7 @@ def _scored(docs: DataFrame, queries: DataFrame, k: int, weigh, value_schema: st
             for whole in batches:
                 for s in range(0, whole.num_rows, 1000):
                     batch = whole.slice(s, 1000)
-                    ids, rows, cols, values = score(batch.column(1).to_pylist(), batch.column(0).to_numpy())
+                    ids, rows, cols, values = score(batch.column(1).to_pylist(), np.array(batch.column(0).to_pylist()))
                     if len(rows):
                         yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows)), batch.column(0).take(pa.array(cols)), *values], names)
 
@@ -234,3 +234,35 @@ def ranking_metrics(ranked: DataFrame, gold: DataFrame, k: int = 10) -> DataFram
         "query_id", F.when(F.col("hits") > 0, 1.0).otherwise(0.0).alias("hit"), F.round(F.coalesce(F.col("hits") / F.col("n"), F.lit(0.0)), 6).alias("recall"),
         F.round(F.coalesce(1 / F.col("first"), F.lit(0.0)), 6).alias("mrr"), F.round(F.coalesce(F.col("dcg") / ideal, F.lit(0.0)), 6).alias("ndcg"),
     )
+
+
+def paired_bootstrap(deltas: DataFrame, value: str, samples: int = 1000, seed: int = 7, parts: int = 8) -> DataFrame:
+    """(mean_delta, ci95_low, ci95_high) of the mean of `value` over resamples of its rows; all zero for no rows.
+
+    The rows are one number for each evaluated question, a stated set that is sent to every task; the resamples are spread over the tasks, each seeded by its number.
+    """
+    spark = deltas.sparkSession
+    values = deltas.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v")).orderBy("v").toArrow().column(0).to_numpy()
+    shared = spark.sparkContext.broadcast(values)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = shared.value
+        for batch in batches:
+            means = [float(v[np.random.default_rng([seed, n]).integers(0, len(v), len(v))].mean()) if len(v) else 0.0 for n in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(means, pa.float64())], ["mean"])
+
+    drawn = spark.range(0, samples, 1, parts).mapInArrow(run, "mean double")
+    return drawn.agg(F.avg("mean").alias("mean_delta"), F.percentile("mean", F.lit(0.025)).alias("ci95_low"), F.percentile("mean", F.lit(0.975)).alias("ci95_high"))
+
+
+def source_aware_ndcg(ranked: DataFrame, gold: DataFrame, sources: DataFrame, k: int = 10, gain: float = 0.65) -> DataFrame:
+    """(query_id, ndcg): the first hit of each ranking only, 1 for a gold document and `gain` for another one of a gold document's source, discounted by rank.
+
+    ranked(query_id, doc_id, rank), gold(query_id, doc_id), sources(doc_id, source), one row a document. Queries without gold are left out.
+    """
+    wanted = gold.select("query_id", "doc_id").distinct()
+    same = wanted.join(sources, "doc_id").select("query_id", "source").distinct()
+    hits = ranked.where(F.col("rank") <= k).join(sources, "doc_id", "left").join(wanted.withColumn("exact", F.lit(True)), ["query_id", "doc_id"], "left").join(same.withColumn("near", F.lit(True)), ["query_id", "source"], "left")
+    worth = F.when(F.col("exact"), 1.0).when(F.col("near"), gain)
+    first = hits.where(worth.isNotNull()).groupBy("query_id").agg(F.min_by(worth / F.log2(F.col("rank") + 1), "rank").alias("ndcg"))
+    return wanted.select("query_id").distinct().join(first, "query_id", "left").select("query_id", F.round(F.coalesce("ndcg", F.lit(0.0)), 6).alias("ndcg"))

@@ -22,4 +22,4 @@ def query(sql: str | None = None):
     return register
 
 
-from quarrymill.plans import corpus, evaluation, graphs, ranking, records  # noqa: E402, F401
+from quarrymill.plans import corpus, evaluation, evidence, graphs, quality, ranking, records, releases  # noqa: E402, F401

@@ -41,11 +41,13 @@ def url_normalize(spark: SparkSession, root: str) -> DataFrame:
 
 @query(
     f"WITH src AS (SELECT source_url AS u FROM embedding_records WHERE source_url IS NOT NULL), {_URL_SQL}, "
-    r"f AS (SELECT regexp_replace(regexp_replace(url, '\?.*$', ''), '^(https?://[^/]+)/(ar|de|en|es|fr)(/|$)', '\1\3') AS family, url FROM normal) "
+    r"f AS (SELECT regexp_replace(regexp_replace(regexp_replace(url, '\?.*$', ''), '^(https?://[^/]+)/(ar|de|en|es|fr)(/|$)', '\1\3'), '^https?://(www\.)?', '') AS family, u AS url FROM normal) "
     "SELECT family, count(*) AS records, count(DISTINCT url) AS urls, min(url) AS first_url FROM f GROUP BY family HAVING count(DISTINCT url) > 1"
 )
 def url_family_groups(spark: SparkSession, root: str) -> DataFrame:
-    urls = table(spark, root, "embedding_records").where("source_url is not null").select(U.family(F.col("source_url")).alias("family"), U.normalize(F.col("source_url")).alias("url"))
+    """Families of addresses (without scheme, www, language and query) that are spelt in several ways."""
+    family = F.regexp_replace(U.family(F.col("source_url")), r"^https?://(www\.)?", "")
+    urls = table(spark, root, "embedding_records").where("source_url is not null").select(family.alias("family"), F.col("source_url").alias("url"))
     # one row a URL first, so that a hot URL is folded on the map side
     folded = urls.groupBy("family", "url").agg(F.count(F.lit(1)).alias("n"))
     return folded.groupBy("family").agg(F.sum("n").alias("records"), F.count(F.lit(1)).alias("urls"), F.min("url").alias("first_url")).where("urls > 1")
@@ -209,11 +211,15 @@ def richest_media_reference(spark: SparkSession, root: str) -> DataFrame:
 
 
 @query(
-    """WITH h AS (SELECT DISTINCT perceptual_hash AS h FROM media WHERE regexp_matches(perceptual_hash, '^[0-9a-f]{16}$')), v AS (SELECT h, ('0x' || h)::UBIGINT AS v FROM h)
- SELECT x.h AS a, y.h AS b, bit_count(xor(x.v, y.v)::BIT::VARCHAR::BIT) AS distance FROM v x JOIN v y ON x.h < y.h WHERE bit_count(xor(x.v, y.v)::BIT::VARCHAR::BIT) <= 2"""
+    """WITH h AS (SELECT perceptual_hash AS h, count(DISTINCT url) AS assets FROM media WHERE regexp_matches(perceptual_hash, '^[0-9a-f]{16}$') GROUP BY 1), v AS (SELECT h, assets, ('0x' || h)::UBIGINT AS v FROM h),
+ p AS (SELECT x.h AS h, count(*) AS near FROM v x JOIN v y ON x.h <> y.h AND bit_count(xor(x.v, y.v)::BIT::VARCHAR::BIT) <= 2 GROUP BY 1) SELECT v.h AS perceptual_hash, assets, coalesce(near, 0) AS near_hashes FROM v LEFT JOIN p ON v.h = p.h"""
 )
-def perceptual_near_pairs(spark: SparkSession, root: str) -> DataFrame:
-    return dedup.hamming_pairs(table(spark, root, "media"), "id", "perceptual_hash", 2)
+def perceptual_groups(spark: SparkSession, root: str) -> DataFrame:
+    """Assets that look alike: those of the same hash, and how many other hashes are within two bits."""
+    media = table(spark, root, "media").where(F.col("perceptual_hash").rlike("^[0-9a-f]{16}$"))
+    pairs = dedup.hamming_pairs(media, "id", "perceptual_hash", 2)
+    near = pairs.select("a").union(pairs.select("b")).groupBy(F.col("a").alias("perceptual_hash")).agg(F.count(F.lit(1)).alias("near"))
+    return media.groupBy("perceptual_hash").agg(F.count_distinct("url").alias("assets")).join(near, "perceptual_hash", "left").select("perceptual_hash", "assets", F.coalesce("near", F.lit(0)).alias("near_hashes"))
 
 
 @query(
@@ -350,3 +356,9 @@ def budget_pack(spark: SparkSession, root: str) -> DataFrame:
     ranked = pages.select("document_id", "media_id", F.length(F.coalesce("ocr_text", F.lit(""))).alias("n"), F.row_number().over(order).alias("place"))
     running = F.sum("n").over(Window.partitionBy("document_id").orderBy("place"))
     return ranked.select("document_id", "media_id", F.col("place").cast("bigint").alias("place"), running.alias("characters")).where("characters <= 4000")
+
+
+@query()
+def sentence_spans(spark: SparkSession, root: str) -> DataFrame:
+    """Spans of up to four sentences; a fold over sentences has no SQL twin, a test compares it with a plain loop."""
+    return chunking.sentence_windows(table(spark, root, "documents"), "doc_id", "text")

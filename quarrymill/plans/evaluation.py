@@ -60,12 +60,9 @@ def ranked_chunks(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]
     items = table(spark, root, ITEMS).where("size(gold_chunk_ids) > 0")
     chunks = table(spark, root, "embedding_records").where("lane = 'chunks'").select(F.col("record_id").alias("doc_id"), "retrieval_text")
     # a record carried into other releases counts once, with all its words
-    said = chunks.select("doc_id", F.explode(F.array_distinct(words(F.col("retrieval_text")))).alias("term")).distinct()
-    asked = items.select(F.col("id").alias("query_id"), F.explode(F.array_distinct(words(F.col("query")))).alias("term")).where(F.length("term") >= 3)
-    size = asked.groupBy("query_id").agg(F.count(F.lit(1)).alias("terms"))
-    hits = asked.join(said, "term").groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("hits")).join(size, "query_id")
-    scored = hits.select("query_id", "doc_id", F.round(F.col("hits") / F.col("terms") + F.least(F.lit(0.15), 0.03 * (F.col("hits") - 1)), 6).alias("score"))
-    return retrieval.top_k(scored, "query_id", "doc_id", "score", 10), items.select(F.col("id").alias("query_id"), F.explode("gold_chunk_ids").alias("doc_id"))
+    texts = chunks.distinct().groupBy("doc_id").agg(F.concat_ws("\n", F.collect_set("retrieval_text")).alias("text"))
+    ranked = retrieval.overlap(texts, items.select(F.col("id").alias("query_id"), F.col("query").alias("text")), 10).drop("hits")
+    return ranked, items.select(F.col("id").alias("query_id"), F.explode("gold_chunk_ids").alias("doc_id"))
 
 
 @query(
@@ -125,3 +122,36 @@ def report_deltas(spark: SparkSession, root: str) -> DataFrame:
     d = F.col("q") - F.col("p")
     verdict = F.when(d.isNull(), "incomparable").when(d > 0.01, "improvement").when(d < -0.01, "regression").otherwise("unchanged")
     return base.join(other, "ocr_provider", "full").select("ocr_provider", F.round(d, 6).alias("delta"), verdict.alias("verdict"))
+
+
+@query(
+    "WITH " + _RANKED_SQL + """, src AS (SELECT record_id AS doc_id, min(source_url) AS source FROM embedding_records GROUP BY 1), same AS (SELECT DISTINCT query_id, source FROM g JOIN src USING (doc_id)),
+ hg AS (SELECT rk.query_id, rank, CASE WHEN g.doc_id IS NOT NULL THEN 1.0::DOUBLE WHEN same.source IS NOT NULL THEN 0.65::DOUBLE END AS gain FROM rk LEFT JOIN src USING (doc_id) LEFT JOIN g ON g.query_id = rk.query_id AND g.doc_id = rk.doc_id LEFT JOIN same ON same.query_id = rk.query_id AND same.source = src.source),
+ f AS (SELECT query_id, arg_min(gain / log2(rank + 1), rank) AS v FROM hg WHERE gain IS NOT NULL GROUP BY 1) SELECT query_id, round(coalesce(v, 0), 6) AS ndcg FROM (SELECT DISTINCT query_id FROM g) LEFT JOIN f USING (query_id)"""
+)
+def source_aware_ndcg(spark: SparkSession, root: str) -> DataFrame:
+    ranked, gold = ranked_chunks(spark, root)
+    sources = table(spark, root, "embedding_records").groupBy(F.col("record_id").alias("doc_id")).agg(F.min("source_url").alias("source"))
+    return retrieval.source_aware_ndcg(ranked, gold, sources)
+
+
+@query(
+    "WITH " + _RANKED_SQL + """, n AS (SELECT query_id, count(*) AS n FROM g GROUP BY 1), f AS (SELECT query_id, count(DISTINCT doc_id) AS hits, min(rank) AS first FROM rk JOIN g USING (query_id, doc_id) GROUP BY 1),
+ m AS (SELECT i.language, CASE WHEN hits > 0 THEN 1e0 ELSE 0e0 END AS hit, round(coalesce(hits / n, 0), 6) AS recall, round(coalesce(1 / first, 0), 6) AS mrr FROM n LEFT JOIN f USING (query_id) JOIN mbzuai_preprod_answer_completeness_v1 i ON i.id = query_id)
+ SELECT coalesce(language, 'none') AS language, count(*) AS queries, round(0.5e0 * avg(recall) + 0.3e0 * avg(mrr) + 0.2e0 * avg(hit), 5) AS selection_score FROM m GROUP BY 1"""
+)
+def selection_scores(spark: SparkSession, root: str) -> DataFrame:
+    """A weighted composite of recall, reciprocal rank and hits by language label."""
+    m = retrieval.ranking_metrics(*ranked_chunks(spark, root)).join(table(spark, root, ITEMS).select(F.col("id").alias("query_id"), "language"), "query_id")
+    score = 0.5 * F.avg("recall") + 0.3 * F.avg("mrr") + 0.2 * F.avg("hit")
+    return m.groupBy(F.coalesce("language", F.lit("none")).alias("language")).agg(F.count(F.lit(1)).alias("queries"), F.round(score, 5).alias("selection_score"))
+
+
+@query()
+def lane_bootstrap(spark: SparkSession, root: str) -> DataFrame:
+    """Confidence interval of the difference in top score between the two lexical lanes; resampling has no SQL, a test compares it with numpy."""
+    from quarrymill.plans import ranking
+
+    best = lambda lane, name: lane.where("rank = 1").select("query_id", (F.col("score") / (1 + F.col("score"))).alias(name))
+    both = best(ranking.bm25_topk(spark, root), "a").join(best(ranking.lexical_overlap_topk(spark, root), "b"), "query_id")
+    return retrieval.paired_bootstrap(both.select((F.col("a") - F.col("b")).alias("delta")), "delta")
