@@ -153,8 +153,11 @@ def residue_forms(values: DataFrame, trust: Callable[[str], str | None] = truste
     known = front = index.where("message").select("form", "h")
     while front.head(1):  # each round labels at least one further form, so it ends
         probed = front.withColumnsRenamed({"form": "near", "h": "k"}).mapInArrow(_keyed(bits, tables, True), "near string, k bigint, key bigint")
-        met = probed.join(table, "key").where(F.bit_count(F.col("h").bitwiseXOR(F.col("k"))) <= HAMMING).select("form", "h", "near").distinct()
-        near = met.where(F.levenshtein("form", "near") <= (1 - LEAST_SIMILARITY) * F.greatest(F.length("form"), F.length("near")))
+        # lengths and Hamming distance drop most of what meets before it is shuffled, and the edit distance stops at its bound
+        most = F.floor((1 - LEAST_SIMILARITY) * F.greatest(F.length("form"), F.length("near")) + 1e-9).cast("int")
+        close = (F.bit_count(F.col("h").bitwiseXOR(F.col("k"))) <= HAMMING) & (F.abs(F.length("form") - F.length("near")) <= most)
+        met = probed.join(table, "key").where(close).select("form", "h", "near", most.alias("most")).distinct()
+        near = met.where(F.expr("levenshtein(form, near, most) >= 0"))
         front = durable(near.select("form", "h").distinct().join(known.select("form"), "form", "left_anti"))
         known = durable(known.union(front))
     return known.select("form").union(index.where("variable and not message").select("form"))
