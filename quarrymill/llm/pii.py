@@ -2,20 +2,25 @@
 
 Candidate spans come from shapes alone: numbers, addresses, mail addresses, and for names every two capitalised words side by side (with initials and particles), every "Family, Given" and every two
 Arabic words that some labeler has a word for. For each candidate several labelers vote for (1), against (-1) or not at all (0): the shape of the span, a gazetteer of given names, the words before it, the words
-after it, words that mark other things, and what the corpus itself teaches. The last is learned on the sample (`Names`): the contexts in which listed given names
+after it, words that mark other things, and what the corpus itself teaches. The last is learned from all documents (`Names`): the contexts in which listed given names
 stand far more often than other capitalised words, the family names that follow listed given names, and the given names that precede those.
 
-On a bounded sample of documents (`FIT_DOCUMENTS`) expectation-maximisation estimates for each kind and labeler how
-often it is right when it votes, and with that the probability of each candidate. A logistic classifier is trained on
-these probabilities, with votes and plain features of the span, and decides on all spans of all documents.
+Expectation-maximisation over the candidates of all documents estimates for each kind and labeler how often it is right when it votes, and with that the probability of each candidate. A logistic
+classifier is trained on these probabilities, with votes and plain features of the span, and decides on all spans. Both need only how often each combination of kind, votes and length occurs
+(`PATTERNS` at most), so nothing is sampled. The texts are searched once: candidates go to the checkpoint folder (`_searched`), and learning and deciding read them from there.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import uuid
+from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache, partial
+from itertools import accumulate
+from operator import sub
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarrymill.llm.common import texts_of
+from quarrymill.session import durable, ensure_checkpoint_dir
 
-FIT_DOCUMENTS = 3_000
 KINDS = ("email", "phone", "id_number", "address", "name")
 PLACEHOLDERS = {"email": "[EMAIL]", "phone": "[PHONE]", "id_number": "[ID_NUMBER]", "address": "[ADDRESS]", "name": "[NAME]"}
 
@@ -44,9 +49,10 @@ _CAPS_WORD = rf"[{_UP}]{{2,}}(?:-[{_UP}]{{2,}})?"
 _PARTICLES = {"van", "von", "de", "der", "bin", "al", "el", "di", "da", "le"}
 _PARTICLE = rf"(?: (?:{'|'.join(sorted(_PARTICLES))})\b)*"
 #: Capitalised words side by side.
-_RUN = re.compile(rf"(?<![\w@.+-])(?:{_CAP}(?:(?: [{_UP}]\.)?{_PARTICLE} {_CAP})+|{_CAPS_WORD}(?:(?: [{_UP}]\.)? {_CAPS_WORD})+)(?!\w)")
+#: Here and below a pattern begins with what a span can begin with, which is found fast, and then looks back.
+_RUN = re.compile(rf"[{_UP}](?<![\w@.+-].)(?:[{_LOW}'’]+(?:-{_WORD_CAP})?(?:(?: [{_UP}]\.)?{_PARTICLE} {_CAP})+|[{_UP}]+(?:-[{_UP}]{{2,}})?(?:(?: [{_UP}]\.)? {_CAPS_WORD})+)(?!\w)")
 _RUN_WORD = re.compile(r"\S+")
-_LISTED_NAME = re.compile(rf"(?<![\w@.+-])(?:(?P<f>{_WORD_CAP}), (?P<g>(?!Tel\b){_CAP}(?: [{_UP}]\.)?)(?![{_LOW}])|(?P<F>[{_UP}]{{3,}}), (?P<G>[{_UP}]{{3,}})(?![\w]))")
+_LISTED_NAME = re.compile(rf"[{_UP}](?<![\w@.+-].)(?:[{_LOW}'’]+, (?P<g>(?!Tel\b){_CAP}(?: [{_UP}]\.)?)(?![{_LOW}])|[{_UP}]{{2,}}, (?P<G>[{_UP}]{{3,}})(?![\w]))")
 _TITLE = re.compile(r"(?:\b(?:Dr|Prof|Mr|Mrs|Ms|Mme|Mlle|M|Herr|Frau|Sr|Sra|Dña|Don)\.? )+$")
 _TITLE_WORDS = {"dr", "prof", "mr", "mrs", "ms", "mme", "mlle", "m", "herr", "frau", "sr", "sra", "dña", "don", "السيد", "السيدة", "الدكتور", "الدكتورة"}
 _ARABIC_RUN = re.compile(r"[ء-ي]+(?: [ء-ي]+)+")
@@ -54,12 +60,16 @@ _ARABIC_PARTICLES = {"بن", "بنت", "أبو"}
 _UNIT_BEFORE = re.compile(r"(?:\b(?:of|for|in|on|the|The|de|des|du|für|Institute|Chair|Centre|Department|prize|fellowship|Course|Hall|Room|Building)) $")
 _UNIT_WORD = re.compile(r"(?i)(?:institut|universit|centre|center|zentrum|department|faculty|school|college|lab|hall|room|building|street|road|avenue|prize|award|library|museum|campus|course|chair|group|project|programm?e?|society|lecture)\w*$")
 _UNIT_AFTER = re.compile(r"^ (?:Institute|Centre|Center|Prize|Award|Hall|Lecture|Fellowship|Library|Building|Chair|Foundation|School|Street|Road|Lab)\b")
-_AROUND = re.compile(r"\w+|[^\w\s]")
+_AROUND = re.compile(r"\s*(?:\w+|[^\w\s])")
+_WORD_CUT = re.compile(r"\w\w")
+_DIGITS = re.compile(r"\d+")
+_LOWER_WORD = re.compile(rf"(?<![\w.@+-])[{_LOW}]{{2,}}(?![\w.@+-])")
 
 _EMAIL = re.compile(r"[\w.+%-]*\w(?: ?@ ?| ?\[at\] ?| ?\(at\) ?| ?\{at\} ?)[A-Za-z0-9-]+(?:(?:\.| ?\[dot\] ?| ?\(dot\) ?| ?\{dot\} ?)[A-Za-z0-9-]+)+")
+_EMAIL_START = re.compile(r"(?<![\w.+%-])" + _EMAIL.pattern)
 _NUMBER = re.compile(
-    r"(?<![\w.,/+٠-٩-])(?:\+|\(\+?)?[\d٠-٩](?:[\d٠-٩]|[ ()/-](?=[\d٠-٩( ])|\.(?=[\d٠-٩])){4,24}[\d٠-٩][A-Z]?(?:(?:,? ?(?:ext\.?|extension|x|Durchwahl|App\.|poste|extensión|تحويلة) ?)\d{1,5})?(?![\w])"
-    r"|(?<![\w-])[A-Z]{1,2}\d{6,9}(?![\w-])"
+    r"[\d٠-٩+(A-Z](?:(?<![\w.,/+٠-٩-].)(?:(?<=\+)[\d٠-٩]|(?<=\()\+?[\d٠-٩]|(?<=[\d٠-٩]))(?:[\d٠-٩]|[ ()/-](?=[\d٠-٩( ])|\.(?=[\d٠-٩])){4,24}[\d٠-٩][A-Z]?(?:(?:,? ?(?:ext\.?|extension|x|Durchwahl|App\.|poste|extensión|تحويلة) ?)\d{1,5})?(?![\w])"
+    r"|(?<=[A-Z])(?<![\w-].)[A-Z]?\d{6,9}(?![\w-]))"
 )
 _ID_BEFORE = re.compile(
     r"(?:passport|identity card|national ID|Emirates ID|student|residence permit|social security|Pass|Ausweis|Personalausweis|passeport|identité|séjour|pasaporte|identidad|NIE|DNI|الهوية|السفر|الإقامة|الطالب)(?: ?(?:number|card|no\.|No\.|n°|nº|nummer|numéro|número|nr\.|#))?[ :]*$", re.I
@@ -85,27 +95,108 @@ _ADDRESSES = [
     re.compile(rf"(?:(?:Am|An der|Auf der|Im|In der|Zum|Zur|Alter|Alte|Neue|Neuer|Unter den) )?[{_UP}][\w’'-]+(?: (?:Straße|Str\.|Weg|Platz|Allee|Gasse|Ufer|Ring))? \d{{1,4}} ?[a-z]?, \d{{5}} {_TOWN}"),
     re.compile(r"(?:(?:شقة|فيلا) [\d٠-٩]{1,5}، )?شارع [ء-ي ]{2,30} [\d٠-٩]{1,5}، حي [ء-ي ]{2,25}، [ء-ي]{3,}"),
 ]
+
+
+def _any_of(*parts: str) -> Callable[[str], object]:
+    return lambda text: any(map(text.__contains__, parts))
+
+
 #: What a text must hold to be worth each address pattern.
-_ADDRESS_HINTS = [re.compile(_STREET_EN), re.compile("District"), re.compile(r"\b(?:rue|avenue|impasse|boulevard|place|chemin|allée|quai|route|cours|square) "), re.compile(r"\b(?:Calle|Avenida|Plaza|Paseo|Camino|Ronda|Travesía|C/|Avda|Pza)"), re.compile(rf"\d ?[a-z]?, \d{{5}} [{_UP}]"), re.compile("شارع")]
+_ADDRESS_HINTS: list[Callable[[str], object]] = [
+    _any_of("Street", "Road", "Lane", "Row", "Court", "Close", "Avenue", "Way", "Crescent", "Hill", "Square", "Place", "Drive", "Walk", "Gate", "Mews", "Terrace", "St.", "Rd.", "Ave.", "Blvd."),
+    _any_of("District"),
+    _any_of("rue ", "avenue ", "impasse ", "boulevard ", "place ", "chemin ", "allée ", "quai ", "route ", "cours ", "square "),
+    _any_of("Calle", "Avenida", "Plaza", "Paseo", "Camino", "Ronda", "Travesía", "C/", "Avda.", "Pza."),
+    re.compile(r", \d{5} ").search,
+    _any_of("شارع"),
+]
 _ADDRESS_BEFORE = re.compile(r"(?:lives at|moved to|address|domicilié au|domicilio en|wohnhaft|المقيم في|المقيمة في|zu) $")
 _POSTCODE = re.compile(r"\b\d{5}\b|\b[A-Z]{1,2}\d{1,2}[A-Z]? \d[A-Z]{2}\b|District|حي ")
 
 #: A line break inside a hard-wrapped sentence; as a blank of the same length it leaves all places as they are.
-_WRAP = re.compile(r"(?<=[^\n.!?؟:;])\n(?=[^\n\s#|*-])(?!\d+[.)] )")
+_WRAP = re.compile(r"\n(?<=[^\n.!?؟:;]\n)(?=[^\n\s#|*-])(?!\d+[.)] )")
 
 LABELERS = ("shape", "gazetteer", "before", "after", "other", "learned")
 #: A context is a cue if it stands beside listed names so many times as often (in logarithms) as beside other capitalised words, and at least so often.
 CUE_ODDS = 3.0
 CUE_COUNT = 4
-
-
-def _contexts(text: str, start: int, end: int) -> tuple[list[str], list[str]]:
-    """What stands right before and right after a span: one and two words or signs, digits as one sign."""
-    before = [re.sub(r"\d+", "0", t.lower()) for t in _AROUND.findall(text[max(0, start - 40) : start])[-3:]]
-    while len(before) > 1 and (before[-1] in _TITLE_WORDS or before[-1] == "." and before[-2] in _TITLE_WORDS):
-        before = before[:-1]  # a title says enough by itself
-    after = [re.sub(r"\d+", "0", t.lower()) for t in _AROUND.findall(text[end : end + 30])[:2]]
-    return [" ".join(before[-n:]) for n in (1, 2) if len(before) >= n], [" ".join(after[:n]) for n in (1, 2) if len(after) >= n]
+#: A word is ordinary if it stands so often in lower case, and at least in this share of its uses as part of a name-shaped span; shares hold for corpora of any size.
+COMMON_COUNT = 3
+COMMON_SHARE = 0.1
+#: A name is learned if at least this share of its uses in name-shaped spans is beside known names.
+NAME_SHARE = 0.05
+
+_POWERS = 3 ** np.arange(len(LABELERS))
+#: Kinds, four lengths, three votes of each labeler.
+PATTERNS = len(KINDS) * 4 * 3 ** len(LABELERS)
+#: Flags of a name-shaped span: listed given name, title before it, a unit's words after and before it, words that name units; the length comes on top.
+_LISTED, _TITLED, _UNIT_NEXT, _UNIT_LAST, _UNIT_FAMILY, _UNIT_GIVEN, _LENGTH = (1 << n for n in range(7))
+_FOUND = pa.struct([("first", pa.int32()), ("last", pa.int32()), ("marks", pa.int32()), ("given", pa.string()), ("family", pa.string()), ("before", pa.string()), ("after", pa.string())])
+
+
+def _plain(tokens: str) -> str:
+    return _DIGITS.sub("0", tokens.lower())
+
+
+class _Around:
+    """The words and signs of a text, digits as one sign, to tell what stands right before and right after a place: up to two of them."""
+
+    def __init__(self, text: str):
+        self.text = text
+        spaced = _AROUND.findall(text)  # each with the blanks before it, so that lengths give the places
+        tokens = list(map(str.lstrip, spaced))
+        self.ends = list(accumulate(map(len, spaced)))
+        self.starts = list(map(sub, self.ends, map(len, tokens)))
+        self.tokens = _plain("\n".join(tokens)).split("\n")
+
+    def both(self, start: int, end: int) -> tuple[str, str]:
+        """What stands before `start` and what stands after `end`."""
+        tokens, starts = self.tokens, self.starts
+        i, j = bisect_left(starts, start), bisect_left(starts, end)
+        if i > 1 and starts[i - 2] >= start - 40 and self.ends[i - 1] <= start and (last := tokens[i - 1]) != "." and last not in _TITLE_WORDS:
+            before = f"{tokens[i - 2]} {last}"
+        else:
+            before = self._before(i, start)
+        if j + 1 < len(starts) and starts[j + 1] < end + 30 and self.ends[j - 1] <= end:
+            return before, f"{tokens[j]} {tokens[j + 1]}"
+        return before, self._after(j, end)
+
+    def _before(self, i: int, start: int) -> str:
+        first = max(0, i - 3)
+        while first < i and self.starts[first] < start - 40:
+            first += 1
+        got = self.tokens[first:i]
+        if got and self.ends[i - 1] > start:
+            got[-1] = _plain(self.text[self.starts[i - 1] : start])
+        return _last_two(got)
+
+    def _after(self, i: int, end: int) -> str:
+        got = [t for t, s in zip(self.tokens[i : i + 2], self.starts[i : i + 2]) if s < end + 30]
+        if i and self.ends[i - 1] > end:
+            got.insert(0, _plain(self.text[end : self.ends[i - 1]]))
+        return " ".join(got[:2])
+
+
+def _last_two(got: list[str]) -> str:
+    while len(got) > 1 and (got[-1] in _TITLE_WORDS or got[-1] == "." and got[-2] in _TITLE_WORDS):
+        got.pop()  # a title says enough by itself
+    return " ".join(got[-2:])
+
+
+def _beside(text: str, start: int, end: int) -> tuple[str, str]:
+    """What `_Around.both` gives, for texts with few spans."""
+    at = max(0, start - 40)
+    got = _AROUND.findall(text, at, start)
+    if at and got and _WORD_CUT.match(text, at - 1):
+        del got[0]
+    before = _last_two(_plain("\n".join(map(str.lstrip, got[-3:]))).split("\n"))
+    one = _AROUND.match(text, end)
+    if one is None or one.end() - len(one.group().lstrip()) >= end + 30:
+        return before, ""
+    two = _AROUND.match(text, one.end())
+    if two is None or two.end() - len(two.group().lstrip()) >= end + 30:
+        return before, _plain(one.group().lstrip())
+    return before, _plain(f"{one.group().lstrip()} {two.group().lstrip()}")
 
 
 def _name_windows(text: str) -> list[tuple[int, int, str, str]]:
@@ -118,115 +209,150 @@ def _name_windows(text: str) -> list[tuple[int, int, str, str]]:
             out.append((words[i][0], words[j][1], words[i][2].lower(), words[j][2].lower()))
     for m in _LISTED_NAME.finditer(text):
         given = re.sub(r" .*", "", m.group("g") or m.group("G"))
-        out.append((m.start(), m.end(), given.lower(), (m.group("f") or m.group("F")).lower()))
+        out.append((m.start(), m.end(), given.lower(), m.group().partition(",")[0].lower()))
     return out
 
 
-def _arabic_windows(text: str, hints: set[str] | None = None) -> list[tuple[int, int, str, str]]:
-    """The same of Arabic words; with `hints` only where the first word or the one before it is among them."""
+def _arabic_windows(text: str) -> list[tuple[int, int, str, str]]:
+    """The same of Arabic words."""
     out = []
     for m in _ARABIC_RUN.finditer(text):
         words = m.group().split(" ")
-        if hints is not None and hints.isdisjoint(words):
-            continue
         at = m.start()
-        for i in range(len(words) - 1):
-            if hints is None or words[i] in hints or i and words[i - 1] in hints:
-                j = i + 2 if words[i + 1] in _ARABIC_PARTICLES and i + 2 < len(words) else i + 1
-                out.append((at, at + sum(map(len, words[i : j + 1])) + j - i, words[i], words[j]))
-            at += len(words[i]) + 1
+        for i, (given, family) in enumerate(zip(words, words[1:])):
+            following = at + len(given) + 1
+            end = following + len(family)
+            if family in _ARABIC_PARTICLES and i + 2 < len(words):
+                family = words[i + 2]
+                end += 1 + len(family)
+            out.append((at, end, given, family))
+            at = following
     return out
 
 
 class Names:
-    """What a sample teaches about names, starting from the listed given names."""
+    """What a corpus teaches about names, starting from the listed given names (`listed`).
 
-    def __init__(self, texts: list[str], given: set[str] | None = None):
-        self.listed = given if given is not None else GIVEN_NAMES | GIVEN_NAMES_AR
-        plain: Counter = Counter()
-        windows = []
-        for t in texts:
-            t = _WRAP.sub(" ", t)
-            plain.update(re.findall(rf"(?<![\w.@+-])[{_LOW}]{{2,}}(?![\w.@+-])", t))
-            windows += [(g, f, *_contexts(t, s, e)) for s, e, g, f in [*_name_windows(t), *(_arabic_windows(t) if _has_arabic(t) else ())]]
-        self.common = {w for w, n in plain.items() if n >= 3}
-        self.families, self.givens = set(), set()
-        known = [self.is_listed(g) for g, *_ in windows]
-        self.before, self.after = (self._cues([(w[side], k) for w, k in zip(windows, known)]) for side in (2, 3))
-        # a family name follows several listed given names, or one in a known context; a given name stands before several such family names
-        for _ in range(2):
-            seen: dict[str, set[str]] = {}
-            heads: dict[str, set[str]] = {}
-            for g, f, b, a in windows:
-                if g in self.common or f in self.common or _UNIT_WORD.match(f):
-                    continue
-                cue = any(c in self.before for c in b) + any(c in self.after for c in a)
-                if self.is_listed(g) or g in self.givens:
-                    seen.setdefault(f, set()).update((g, "+") if cue and self.is_listed(g) else (g,))
-                if f in self.families:
-                    heads.setdefault(g, set()).update((f, "+") if cue else (f,))
-            self.families = {f for f, gs in seen.items() if len(gs) >= 2}
-            self.givens = {g for g, fs in heads.items() if len(fs) >= 2 and not _UNIT_WORD.match(g)}
-
-        self.known = self.listed | self.givens
-        self.ends = {c.split()[-1] for c in self.before} | _TITLE_WORDS
-        self.hints = self.known | self.ends
+    `common` are words of name-shaped spans that are ordinary words; `before` and `after` the contexts that are cues; `families` and `givens` the learned names.
+    """
 
-    def is_listed(self, given: str) -> bool:
-        return all(p in self.listed for p in given.split("-"))
+    def __init__(self, listed: set[str], common: set[str], before: set[str], after: set[str], families: set[str], givens: set[str]):
+        self.listed, self.common, self.before, self.after, self.families, self.givens = listed, common, before, after, families, givens
 
-    def _cues(self, rows: list[tuple[list[str], bool]]) -> set[str]:
+    def is_listed(self, given: str) -> bool:
+        return is_listed(given, self.listed)
+
+    def cued(self, before: pa.Array, after: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        return _each(before, lambda c: c in self.before or c.rpartition(" ")[2] in self.before), _each(after, lambda c: c in self.after or c.partition(" ")[0] in self.after)
+
+    def patterns(self, found: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each candidate its pattern (kind, votes, length), whether training takes it, and whether something speaks for it."""
+        pattern = found.field("marks").to_numpy().astype(np.int64)
+        train, speaks = np.ones(len(pattern), bool), np.ones(len(pattern), bool)
+        at = np.flatnonzero(pattern < 0)
+        if len(at):
+            marks = -1 - pattern[at]
+            given, family, before, after = (found.field(c).take(pa.array(at)) for c in ("given", "family", "before", "after"))
+            listed, titled = marks & _LISTED > 0, marks & _TITLED > 0
+            common = _each(given, self.common.__contains__)
+            ordinary = common | _each(family, self.common.__contains__)
+            learned = _each(family, self.families.__contains__) | _each(given, self.givens.__contains__)
+            cue, after_cue = self.cued(before, after)
+            cue |= titled
+            unit = (marks & _UNIT_NEXT > 0) | (marks & _UNIT_LAST > 0) & ~cue
+            against = -1 * ordinary
+            votes = np.stack([np.ones(len(at)), np.where(listed, 1, against), cue, after_cue, -1 * unit, np.where(learned, 1, against)], axis=1).astype(np.int64)
+            pattern[at] = _pattern(KINDS.index("name"), votes, marks // _LENGTH)
+            train[at] = (marks & _UNIT_FAMILY == 0) | listed
+            speaks[at] = train[at] & (listed | ~common) & (listed | learned | titled | cue & after_cue)
+        return pattern, train, speaks
+
+
+def is_listed(given: str, listed: set[str]) -> bool:
+    return given in listed or "-" in given and all(p in listed for p in given.split("-"))
+
+
+def _each(values: pa.Array, test: Callable[[str], bool]) -> np.ndarray:
+    coded = values.dictionary_encode()
+    return np.array([bool(test(v)) for v in coded.dictionary.to_pylist()], bool)[coded.indices.to_numpy()]
+
+
+def _pattern(kind: int, votes: np.ndarray, length: np.ndarray | int) -> np.ndarray:
+    return (kind * 4 + length) * 3 ** len(LABELERS) + (votes + 1) @ _POWERS
+
+
+def _of_pattern(pattern: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(kind, votes, length) of each pattern."""
+    rest, votes = np.divmod(pattern, 3 ** len(LABELERS))
+    return rest // 4, (votes[:, None] // _POWERS % 3 - 1).astype(float), rest % 4
+
+
+def learned_names(texts: list[str], given: set[str] | None = None) -> Names:
+    """`Names` of texts at hand; `_learned` is the same of a table."""
+    listed = given if given is not None else GIVEN_NAMES | GIVEN_NAMES_AR
+    lower: Counter = Counter()
+    windows = []
+    for t in texts:
+        rows, words = pieces(t, listed)
+        lower.update(words)
+        windows += [(g, f, b, a, -1 - marks) for _, _, marks, g, f, b, a in rows if marks < 0]
+    first, second = Counter(w[0] for w in windows), Counter(w[1] for w in windows)
+    common = {w for w, n in lower.items() if (u := first[w] + second[w]) and n >= COMMON_COUNT and n >= COMMON_SHARE * u}
+    cues = []
+    for side, one in ((2, lambda c: c.rpartition(" ")[2]), (3, lambda c: c.partition(" ")[0])):
         mine, other = Counter(), Counter()
-        for contexts, known in rows:
-            (mine if known else other).update(contexts)
-        names, rest = max(1, sum(k for _, k in rows)), max(1, sum(not k for _, k in rows))
-        return {c for c, n in mine.items() if n >= CUE_COUNT and math.log((n + 0.5) / names) - math.log((other[c] + 0.5) / rest) >= CUE_ODDS}
-
-    def _hint(self, text: str, window: tuple[int, int, str, str]) -> bool:
-        """Whether a window can have the votes that a name needs: known names, or a title or the end of a cue as the word before."""
-        start, _, given, family = window
-        if given in self.known or family in self.families or "-" in given and self.is_listed(given):
-            return True
-        if given in self.common:
-            return False
-        at = start - 1
-        word = text[text.rfind(" ", max(0, at - 24), at) + 1 : at].lower() if at > 0 else ""
-        return word[-1:] in self.ends or word.rstrip(".:,;(") in self.ends
-
-    def votes(self, text: str, window: tuple[int, int, str, str], wide: bool = False) -> tuple[int, int, str, tuple[int, ...], int] | None:
-        """The window with its votes; None if nothing speaks for a name, unless `wide`."""
-        start, end, given, family = window
-        if not wide and not self._hint(text, window):
-            return None
-        if _UNIT_WORD.match(family) and not self.is_listed(given) or not wide and given in self.common and given not in self.listed:
-            return None
-        listed = self.is_listed(given)
-        learned = (family in self.families) + (given in self.givens)
-        titled = bool(_TITLE.search(text[max(0, start - 30) : start]))
-        b, a = _contexts(text, start, end)
-        before, after = titled or any(c in self.before for c in b), any(c in self.after for c in a)
-        if not wide and not (listed or learned or titled or before and after):
-            return None
-        ordinary = given in self.common or family in self.common
-        unit = bool(_UNIT_AFTER.match(text[end : end + 14])) or bool(_UNIT_BEFORE.search(text[max(0, start - 14) : start])) and not titled and not before
-        return start, end, "name", (1, 1 if listed else -1 if ordinary else 0, 1 if before else 0, 1 if after else 0, -1 if unit else 0, 1 if learned else -1 if ordinary else 0), end - start
+        for w in windows:
+            if w[side]:
+                (mine if w[4] & _LISTED else other).update({w[side], one(w[side])})
+        names, rest = max(1, sum(w[4] & _LISTED > 0 for w in windows)), max(1, sum(w[4] & _LISTED == 0 for w in windows))
+        cues.append({c for c, n in mine.items() if n >= CUE_COUNT and math.log((n + 0.5) / names) - math.log((other[c] + 0.5) / rest) >= CUE_ODDS})
+    names = Names(listed, common, *cues, set(), set())
+    names.families = _companions([(f, g, c) for g, f, c in _pairs(names, [w for w in windows if w[4] & _LISTED])], second)
+    names.givens = _companions(_pairs(names, [w for w in windows if w[1] in names.families and not w[4] & _UNIT_GIVEN]), first)
+    return names
+
+
+def _pairs(names: Names, windows: list[tuple]) -> list[tuple[str, str, bool]]:
+    kept = [w for w in windows if w[0] not in names.common and w[1] not in names.common and not w[4] & _UNIT_FAMILY]
+    if not kept:
+        return []
+    before, after = names.cued(*(pa.array([w[k] for w in kept], pa.string()) for k in (2, 3)))
+    return [(w[0], w[1], bool(c)) for w, c in zip(kept, before | after)]
+
+
+def _companions(pairs: list[tuple[str, str, bool]], uses: Counter) -> set[str]:
+    """Words with at least two companions, or one in a cue, in a share of their uses that is no accident."""
+    beside: dict[str, set] = {}
+    times: Counter = Counter()
+    for word, companion, cue in pairs:
+        beside.setdefault(word, set()).update((companion, True) if cue else (companion,))
+        times[word] += 1
+    return {w for w, c in beside.items() if len(c) >= 2 and times[w] >= NAME_SHARE * uses[w]}
+
+
+def _emails(text: str) -> Iterator[re.Match]:
+    """Matches of `_EMAIL`; a try at each letter of each word would cost more than all else."""
+    at = 0
+    while m := _EMAIL.match(text, at) or _EMAIL_START.search(text, at):
+        yield m
+        at = m.end()
 
 
 def _has_arabic(text: str) -> bool:
     return re.search("[ء-ي]", text) is not None
 
 
-def candidates(text: str, names: Names, wide: bool = False) -> list[tuple[int, int, str, tuple[int, ...], int]]:
-    """(start, end, kind, votes, length feature) of all spans that may be personal; spans may overlap, and may go over a line's end.
+def pieces(text: str, listed: set[str]) -> tuple[list[tuple[int, int, int, str | None, str | None, str | None, str | None]], list[str]]:
+    """All spans that may be personal, and the words in lower case; spans may overlap, and may go over a line's end.
 
-    With `wide` spans come too that only have the shape of a name, as training needs them.
+    A span is (start, end, marks, given, family, before, after). Marks are its pattern; of names, whose votes rest on what the corpus teaches, they are -1 less the flags `_LISTED` and so on.
     """
-    out = []
+    found: list[tuple[int, int, str, tuple[int, ...], int]] = []
     text = _WRAP.sub(" ", text)
     if "@" in text or "at]" in text or "at)" in text or "at}" in text:
-        for m in _EMAIL.finditer(text):
+        for m in _emails(text):
             plain = "@" in m.group()
-            out.append((m.start(), m.end(), "email", (1, 1 if plain else 0, 1 if re.search(r"(?:mailto:|at |to |à |a |an |من |[:,] )$", text[max(0, m.start() - 8) : m.start()]) else 0, 0, 0, 0), m.end() - m.start()))
+            found.append((m.start(), m.end(), "email", (1, 1 if plain else 0, 1 if re.search(r"(?:mailto:|at |to |à |a |an |من |[:,] )$", text[max(0, m.start() - 8) : m.start()]) else 0, 0, 0, 0), m.end() - m.start()))
     for m in _NUMBER.finditer(text):
         value, start, end = m.group(), m.start(), m.end()
         if value[0] == "(" and ")" not in value:
@@ -239,22 +365,56 @@ def candidates(text: str, names: Names, wide: bool = False) -> list[tuple[int, i
         labelled = bool(_ID_BEFORE.search(before))
         phone, number = bool(_PHONE_SHAPE.fullmatch(value)), bool(_ID_SHAPE.fullmatch(value))
         if not value[-1].isalpha() and not value[0].isalpha():
-            out.append((start, end, "phone", (1 if phone else -1, 1 if value[0] in "+(0٠" else 0, -1 if labelled else 1 if _PHONE_BEFORE.search(before) else 0, 0, other, 0), digits))
+            found.append((start, end, "phone", (1 if phone else -1, 1 if value[0] in "+(0٠" else 0, -1 if labelled else 1 if _PHONE_BEFORE.search(before) else 0, 0, other, 0), digits))
         if "ext" not in value:
-            out.append((start, end, "id_number", (1 if number else 0 if labelled else -1, 0, 1 if labelled else -1, 0, other, 0), digits))
+            found.append((start, end, "id_number", (1 if number else 0 if labelled else -1, 0, 1 if labelled else -1, 0, other, 0), digits))
     for hint, pattern in zip(_ADDRESS_HINTS, _ADDRESSES):
-        if hint.search(text):
+        if hint(text):
             for m in pattern.finditer(text):
-                out.append((m.start(), m.end(), "address", (1, 1 if _POSTCODE.search(m.group()) else -1, 1 if _ADDRESS_BEFORE.search(text[max(0, m.start() - 70) : m.start()]) else 0, 0, 0, 0), m.end() - m.start()))
+                found.append((m.start(), m.end(), "address", (1, 1 if _POSTCODE.search(m.group()) else -1, 1 if _ADDRESS_BEFORE.search(text[max(0, m.start() - 70) : m.start()]) else 0, 0, 0, 0), m.end() - m.start()))
+    out = [(start, end, _code(kind, votes, _length(n)), None, None, None, None) for start, end, kind, votes, n in found]
     windows = _name_windows(text)
+    beside = partial(_beside, text)
     if _has_arabic(text):
-        windows += _arabic_windows(text, None if wide else names.hints)
-    out += [v for w in windows if (v := names.votes(text, w, wide))]
-    return out
-
-
-def reliabilities(votes: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, np.ndarray, float]:
-    """(posterior of each row, how often each labeler is right, share of true rows), by expectation-maximisation."""
+        windows += _arabic_windows(text)
+        beside = _Around(text).both
+    if windows:
+        for start, end, given, family in windows:
+            n = end - start
+            flags = _LENGTH * ((n > 8) + (n > 11) + (n > 20))
+            if given in listed or "-" in given and is_listed(given, listed):
+                flags += _LISTED
+            if given < "ء":
+                flags += _of_words(given, family)
+            # titles and words of units are Latin
+            if text[start - 1 : start] == " " and text[start - 2 : start - 1].isascii():
+                if _TITLE.search(text[max(0, start - 30) : start]):
+                    flags += _TITLED
+                if _UNIT_BEFORE.search(text[max(0, start - 14) : start]):
+                    flags += _UNIT_LAST
+            if text[end + 1 : end + 2].isascii() and _UNIT_AFTER.match(text[end : end + 14]):
+                flags += _UNIT_NEXT
+            out.append((start, end, -1 - flags, given, family, *beside(start, end)))
+    return out, _LOWER_WORD.findall(text)
+
+
+@lru_cache(4096)
+def _code(kind: str, votes: tuple[int, ...], length: int) -> int:
+    return int(_pattern(KINDS.index(kind), np.array(votes), length))
+
+
+def _length(n: int) -> int:
+    return (n > 8) + (n > 11) + (n > 20)
+
+
+@lru_cache(65_536)
+def _of_words(given: str, family: str) -> int:
+    return (_UNIT_GIVEN if _UNIT_WORD.match(given) else 0) + (_UNIT_FAMILY if _UNIT_WORD.match(family) else 0)
+
+
+def reliabilities(votes: np.ndarray, rounds: int = 30, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, float]:
+    """(posterior of each row, how often each labeler is right, share of true rows), by expectation-maximisation; a row stands for `times` equal ones."""
+    times = np.ones(len(votes)) if times is None else times
     right = np.full(votes.shape[1], 0.8)
     share = 0.5
     posterior = np.full(len(votes), 0.5)
@@ -265,57 +425,81 @@ def reliabilities(votes: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, np.n
         for k in range(votes.shape[1]):
             cast = votes[:, k] != 0
             # a weak prior keeps a labeler that seldom votes near its start
-            agree = np.where(votes[cast, k] > 0, posterior[cast], 1 - posterior[cast]).sum() + 8
-            right[k] = np.clip(agree / (cast.sum() + 10), 0.55, 0.995)
-        share = float(np.clip((posterior.sum() + 1) / (len(votes) + 2), 0.05, 0.95))
+            agree = (times[cast] * np.where(votes[cast, k] > 0, posterior[cast], 1 - posterior[cast])).sum() + 8
+            right[k] = np.clip(agree / (times[cast].sum() + 10), 0.55, 0.995)
+        share = float(np.clip(((times * posterior).sum() + 1) / (times.sum() + 2), 0.05, 0.95))
     return posterior, right, share
 
 
 def _features(votes: np.ndarray, length: np.ndarray) -> np.ndarray:
-    return np.concatenate([np.ones((len(votes), 1)), votes > 0, votes < 0, (length[:, None] > np.array([8, 11, 20])).astype(float)], axis=1)
+    return np.concatenate([np.ones((len(votes), 1)), votes > 0, votes < 0, (length[:, None] > np.arange(3)).astype(float)], axis=1)
 
 
 class Model:
     """A logistic classifier for each kind, trained on the labelers' joint opinion."""
 
     def __init__(self, texts: list[str], given: set[str] | None = None):
-        self.names = Names(texts, given)
-        found = [c for t in texts for c in candidates(t, self.names, wide=True)]
-        self.weights = {}
-        self.reliability = {}
-        for kind in KINDS:
-            rows = [c for c in found if c[2] == kind]
-            votes = np.array([c[3] for c in rows], dtype=float).reshape(-1, len(LABELERS))
-            posterior, right, _ = reliabilities(votes) if len(rows) else (np.zeros(0), np.full(len(LABELERS), 0.8), 0.5)
+        names = learned_names(texts, given)
+        seen: Counter = Counter()
+        for t in texts:
+            pattern, train, _ = names.patterns(_table([pieces(t, names.listed)[0]]).values)
+            seen.update(pattern[train].tolist())
+        self._fit(names, seen)
+
+    @classmethod
+    def of(cls, names: Names, seen: dict[int, int]) -> Model:
+        model = cls.__new__(cls)
+        model._fit(names, seen)
+        return model
+
+    def _fit(self, names: Names, seen: dict[int, int]) -> None:
+        """`seen`: how often each pattern occurs."""
+        self.names, self.weights, self.reliability = names, {}, {}
+        self.probability = np.zeros(PATTERNS)
+        seen = dict(sorted(seen.items()))
+        pattern, times = np.array(list(seen), np.int64), np.array(list(seen.values()), float)
+        of, all_votes, length = _of_pattern(pattern)
+        every, every_votes, every_length = _of_pattern(np.arange(PATTERNS))
+        for k, kind in enumerate(KINDS):
+            votes, n = all_votes[of == k], times[of == k]
+            posterior, right, _ = reliabilities(votes, times=n) if len(n) else (np.zeros(0), np.full(len(LABELERS), 0.8), 0.5)
             self.reliability[kind] = right
-            x = _features(votes, np.array([c[4] for c in rows], dtype=float))
-            # a prior along the votes keeps combinations sensible that the sample lacks
+            x = _features(votes, length[of == k])
+            # a prior along the votes keeps combinations sensible that the corpus lacks
             start = np.concatenate([[0.0], np.log(right / (1 - right)), -np.log(right / (1 - right)), [0.0] * 3])
             w = start.copy()
-            for _ in range(200 if len(rows) else 0):
+            for _ in range(200 if len(n) else 0):
                 p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-                w -= 0.5 * (x.T @ (p - posterior) / len(rows) + 0.01 * (w - start))
+                w -= 0.5 * (x.T @ (n * (p - posterior)) / n.sum() + 0.01 * (w - start))
             self.weights[kind] = w
+            self.probability[every == k] = 1 / (1 + np.exp(-np.clip(_features(every_votes[every == k], every_length[every == k]) @ w, -30, 30)))
 
     def spans(self, text: str | None) -> list[tuple[int, int, str, float]]:
         """Accepted spans in order, without overlaps: the more probable, then the longer, wins."""
-        found = candidates(text, self.names) if text else []
-        if not found:
-            return []
-        scored = []
-        for kind in KINDS:
-            rows = [c for c in found if c[2] == kind]
-            if rows:
-                x = _features(np.array([c[3] for c in rows], dtype=float), np.array([c[4] for c in rows], dtype=float))
-                p = 1 / (1 + np.exp(-np.clip(x @ self.weights[kind], -30, 30)))
-                scored += [(c[0], c[1], kind, float(q)) for c, q in zip(rows, p) if q >= 0.5]
-        # an address holds what looks like other kinds, and is decided first
-        scored.sort(key=lambda s: (s[2] != "address", -s[3], s[0] - s[1], s[0]))
-        kept: list[tuple[int, int, str, float]] = []
-        for s in scored:
-            if all(s[1] <= k[0] or s[0] >= k[1] for k in kept):
-                kept.append(s)
-        return sorted(kept)
+        return self.chosen(_table([pieces(text, self.names.listed)[0] if text else []]))[0]
+
+    def chosen(self, found: pa.ListArray) -> list[list[tuple[int, int, str, float]]]:
+        """The same for the candidates of each of many texts."""
+        flat = found.flatten()
+        out: list[list[tuple[int, int, str, float]]] = [[] for _ in range(len(found))]
+        pattern, _, speaks = self.names.patterns(flat)
+        p = self.probability[pattern]
+        at = np.flatnonzero(speaks & (p >= 0.5))
+        row = np.repeat(np.arange(len(found)), found.value_lengths().fill_null(0).to_numpy())[at]
+        first, last, kind = flat.field("first").to_numpy()[at], flat.field("last").to_numpy()[at], pattern[at] // (4 * 3 ** len(LABELERS))
+        for i, s, e, k, q in zip(row.tolist(), first.tolist(), last.tolist(), kind.tolist(), p[at].tolist()):
+            out[i].append((s, e, KINDS[k], q))
+        return [_apart(spans) if len(spans) > 1 else spans for spans in out]
+
+
+def _apart(scored: list[tuple[int, int, str, float]]) -> list[tuple[int, int, str, float]]:
+    # an address holds what looks like other kinds, and is decided first
+    scored.sort(key=lambda s: (s[2] != "address", -s[3], s[0] - s[1], s[0]))
+    kept: list[tuple[int, int, str, float]] = []
+    for s in scored:
+        if all(s[1] <= k[0] or s[0] >= k[1] for k in kept):
+            kept.append(s)
+    return sorted(kept)
 
 
 def masked(text: str, spans: list[tuple[int, int, str, float]]) -> str:
@@ -326,10 +510,136 @@ def masked(text: str, spans: list[tuple[int, int, str, float]]) -> str:
     return "".join([*out, text[at:]])
 
 
+def _table(rows: list[list[tuple]]) -> pa.ListArray:
+    """Candidates of texts as lists of `_FOUND`."""
+    flat = [c for r in rows for c in r]
+    columns = zip(*flat) if flat else [()] * len(_FOUND)
+    values = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _FOUND)], fields=list(_FOUND))
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, rows)]), pa.int32()), values)
+
+
+#: Texts whose candidates are held at once, and distinct words.
+_AT_ONCE = 1_000
+_WORDS_AT_ONCE = 200_000
+
+
+def _searched(documents: DataFrame, key: str, text: str, listed: set[str]) -> DataFrame:
+    """(key, text, found, words), kept in the checkpoint folder: a row for each document with its candidates, and rows with nothing but counts of words in lower case."""
+    spark = documents.sparkSession
+    kind = documents.schema[key].dataType
+    names = [key, text, "found", "words"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+        keys = None
+        words_of = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
+
+        def tallied() -> pa.RecordBatch:
+            words = pa.array([[{"word": w, "n": n} for w, n in counts.items()]], words_of)
+            counts.clear()
+            return pa.RecordBatch.from_arrays([pa.nulls(1, keys), pa.nulls(1, pa.string()), pa.nulls(1, pa.list_(_FOUND)), words], names)
+
+        for whole in batches:
+            for at in range(0, whole.num_rows, _AT_ONCE):
+                batch = whole.slice(at, _AT_ONCE)
+                keys = batch.column(0).type
+                rows = []
+                for t in batch.column(1).to_pylist():
+                    found, words = pieces(t, listed) if t else ([], [])
+                    rows.append(found)
+                    counts.update(words)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).cast(pa.string()), _table(rows), pa.nulls(len(batch), words_of)], names)
+                if len(counts) > _WORDS_AT_ONCE:
+                    yield tallied()
+        if counts:
+            yield tallied()
+
+    struct = "array<struct<first: int, last: int, marks: int, given: string, family: string, before: string, after: string>>"
+    schema = f"`{key}` {kind.simpleString()}, `{text}` string, found {struct}, words array<struct<word: string, n: bigint>>"
+    at = f"{ensure_checkpoint_dir(spark)}/candidates-{uuid.uuid4().hex}"
+    documents.select(key, text).mapInArrow(run, schema).write.parquet(at)
+    return spark.read.schema(schema).parquet(at)
+
+
+def _learned(searched: DataFrame, listed: set[str]) -> Names:
+    """`learned_names` of all documents of a table; the driver gets only what is learned."""
+    spark = searched.sparkSession
+    windows = searched.select(F.explode("found").alias("c")).select("c.*").where("marks < 0").withColumn("flags", -1 - F.col("marks"))
+    has = lambda flag: F.col("flags").bitwiseAND(flag) > 0
+
+    # how often each word and context occurs, with and without a listed given name
+    parts = F.explode(F.array(*(F.struct(F.lit(c).alias("part"), F.col(c).alias("value")) for c in ("given", "family", "before", "after"))))
+    tallies = durable(
+        windows.select(has(_LISTED).alias("mine"), parts.alias("p")).groupBy("p.part", "p.value")
+        .agg(F.count(F.when(F.col("mine"), 1)).alias("mine"), F.count(F.when(~F.col("mine"), 1)).alias("other"))
+    )
+    uses = lambda *columns: tallies.where(F.col("part").isin(*columns)).groupBy(F.col("value").alias("word")).agg(F.sum(F.col("mine") + F.col("other")).alias("uses"))
+
+    lower = searched.select(F.explode("words").alias("w")).groupBy("w.word").agg(F.sum("w.n").alias("n")).where(F.col("n") >= COMMON_COUNT)
+    common = {r.word for r in lower.join(uses("given", "family"), "word").where(F.col("n") >= COMMON_SHARE * F.col("uses")).select("word").collect()}
+
+    totals = tallies.where("part = 'given'").agg(F.sum("mine").alias("names"), F.sum("other").alias("rest")).first()
+    names, rest = max(1, totals.names or 0), max(1, totals.rest or 0)
+
+    def cues(column: str, end: int) -> set[str]:
+        each = tallies.where((F.col("part") == column) & (F.col("value") != "")).withColumn("c", F.explode(F.array_distinct(F.array("value", F.substring_index("value", " ", end)))))
+        odds = F.log((F.col("n") + 0.5) / names) - F.log((F.col("other") + 0.5) / rest)
+        counts = each.groupBy("c").agg(F.sum("mine").alias("n"), F.sum("other").alias("other"))
+        return {r.c for r in counts.where((F.col("n") >= CUE_COUNT) & (odds >= CUE_ODDS)).select("c").collect()}
+
+    taught = Names(listed, common, cues("before", -1), cues("after", 1), set(), set())
+
+    def companions(of: DataFrame, word: str, beside: str) -> set[str]:
+        shared = spark.sparkContext.broadcast(taught)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                given, family, before, after = batch.columns
+                ordinary = shared.value.common.__contains__
+                kept = batch.filter(pa.array(~(_each(given, ordinary) | _each(family, ordinary))))
+                cue, after_cue = shared.value.cued(kept.column(2), kept.column(3))
+                yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1), pa.array(cue | after_cue)], ["given", "family", "cue"])
+
+        pairs = of.where(~has(_UNIT_FAMILY)).select("given", "family", "before", "after").mapInArrow(run, "given string, family string, cue boolean")
+        pairs = pairs.groupBy(F.col(word).alias("word"), beside).agg(F.count(F.lit(1)).alias("n"), F.max(F.col("cue").cast("int")).alias("cue"))
+        learned = pairs.groupBy("word").agg(F.sum("n").alias("n"), (F.count(F.lit(1)) + F.max("cue")).alias("beside")).where(F.col("beside") >= 2)
+        return {r.word for r in learned.join(uses(word), "word").where(F.col("n") >= NAME_SHARE * F.col("uses")).select("word").collect()}
+
+    taught.families = companions(windows.where(has(_LISTED)), "family", "given")
+    if taught.families:
+        families = spark.createDataFrame([(f,) for f in sorted(taught.families)], "family string")
+        taught.givens = companions(windows.where(~has(_UNIT_GIVEN)).join(F.broadcast(families), "family"), "given", "family")
+    return taught
+
+
+def _trained(searched: DataFrame, listed: set[str]) -> Model:
+    names = _learned(searched, listed)
+    shared = searched.sparkSession.sparkContext.broadcast(names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        times = np.zeros(PATTERNS, np.int64)
+        for batch in batches:
+            pattern, train, _ = shared.value.patterns(batch.column(0).flatten())
+            times += np.bincount(pattern[train], minlength=PATTERNS)
+        at = np.flatnonzero(times)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(times[at])], ["pattern", "n"])
+
+    counts = searched.where("words is null").select("found").mapInArrow(run, "pattern bigint, n bigint").groupBy("pattern").agg(F.sum("n").alias("n"))
+    return Model.of(names, {r.pattern: r.n for r in counts.collect()})
+
+
 def train_from(documents: DataFrame, text: str = "text") -> Model:
-    n = max(1, documents.count())
-    rows = documents.where(F.col(text).isNotNull()).sample(min(1.0, 1.5 * FIT_DOCUMENTS / n), seed=9).select(text).limit(FIT_DOCUMENTS).toArrow()
-    return Model(rows.column(0).to_pylist())
+    """The model that all documents teach."""
+    listed = GIVEN_NAMES | GIVEN_NAMES_AR
+    return _trained(_searched(documents.select(F.lit(0).alias("key"), text), "key", text, listed), listed)
+
+
+def _decided(documents: DataFrame, key: str, text: str) -> tuple[DataFrame, Callable[[pa.RecordBatch], list[list[tuple[int, int, str, float]]]]]:
+    """(key, text, found) of each document, and what gives the accepted spans of a batch of it."""
+    listed = GIVEN_NAMES | GIVEN_NAMES_AR
+    searched = _searched(documents, key, text, listed)
+    shared = documents.sparkSession.sparkContext.broadcast(_trained(searched, listed))
+    return searched.where("words is null").select(key, text, "found"), lambda batch: shared.value.chosen(batch.column(2))
 
 
 def personal_spans(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -337,32 +647,32 @@ def personal_spans(documents: DataFrame, key: str = "doc_id", text: str = "text"
 
     Null and empty texts have none; copies of a text have the same spans each.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(train_from(documents, text))
+    found, chosen = _decided(documents, key, text)
     kind = documents.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, rows = [], []
-            for i, t in enumerate(texts_of(batch, text)):
-                for start, end, what, p in shared.value.spans(t):
+            for i, (t, spans) in enumerate(zip(texts_of(batch, text), chosen(batch))):
+                for start, end, what, p in spans:
                     at.append(i)
                     rows.append((what, t[start:end], start, round(p, 6)))
             cols = [pa.array([r[c] for r in rows], k) for c, k in enumerate((pa.string(), pa.string(), pa.int32(), pa.float64()))]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *cols], [key, "kind", "val", "first", "probability"])
 
-    return documents.select(key, text).mapInArrow(run, f"`{key}` {kind}, kind string, val string, first int, probability double")
+    return found.mapInArrow(run, f"`{key}` {kind}, kind string, val string, first int, probability double")
 
 
 def masked_documents(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, spans, masked): each text with typed placeholders for its personal information; null stays null."""
-    shared = documents.sparkSession.sparkContext.broadcast(train_from(documents, text))
+    found, chosen = _decided(documents, key, text)
     kind = documents.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = texts_of(batch, text)
-            spans = [shared.value.spans(t) for t in texts]
+            spans = chosen(batch)
             clean = [masked(t, s) if t is not None else None for t, s in zip(texts, spans)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in spans], pa.int32()), pa.array(clean, pa.string())], [key, "spans", "masked"])
 
-    return documents.select(key, text).mapInArrow(run, f"`{key}` {kind}, spans int, masked string")
+    return found.mapInArrow(run, f"`{key}` {kind}, spans int, masked string")

@@ -79,3 +79,24 @@ def test_names_outside_the_list():
         false += len(got - names)
     print(f"unseen {unseen}, found {found}, other {false}")
     assert unseen > 100 and found >= 0.9 * unseen and false <= 0.05 * unseen
+
+
+def test_all_documents_teach(spark):
+    """Names that stand only in the last of 6,000 documents are learned, and the table teaches exactly what its texts in one list do."""
+    texts = [t for t, _ in CASES] * 600 + ["Contact: Jonas Quelbar, then home.", "The form was signed by Nadia Quelbar, who left.", "On Monday Bexley Quelbar gave a talk.", None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartitionByRange(5, "doc_id")
+    got, want = P.train_from(df), P.Model([t for t in texts if t])
+    assert "quelbar" in got.names.families
+    for part in ("common", "before", "after", "families", "givens"):
+        assert getattr(got.names, part) == getattr(want.names, part), part
+    for kind in P.KINDS:
+        assert np.allclose(got.reliability[kind], want.reliability[kind]) and np.allclose(got.weights[kind], want.weights[kind])
+    found = {(r.doc_id, r.val) for r in P.personal_spans(df).where("doc_id >= 6000").collect()}
+    assert found == {(6000, "Jonas Quelbar"), (6001, "Nadia Quelbar"), (6002, "Bexley Quelbar")}
+
+
+def test_equal_rows_count_as_often_as_they_stand():
+    votes = np.array([[1, 1, 0], [1, -1, 1], [-1, 0, -1]], float)
+    times = np.array([5, 2, 9])
+    one, many = P.reliabilities(votes, times=times.astype(float)), P.reliabilities(np.repeat(votes, times, axis=0))
+    assert np.allclose(one[1], many[1]) and np.isclose(one[2], many[2])
