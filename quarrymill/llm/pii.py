@@ -18,12 +18,13 @@ import uuid
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Callable, Iterator
-from functools import lru_cache, partial
+from functools import lru_cache
 from itertools import accumulate
 from operator import sub
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,16 +62,23 @@ _UNIT_BEFORE = re.compile(r"(?:\b(?:of|for|in|on|the|The|de|des|du|für|Institut
 _UNIT_WORD = re.compile(r"(?i)(?:institut|universit|centre|center|zentrum|department|faculty|school|college|lab|hall|room|building|street|road|avenue|prize|award|library|museum|campus|course|chair|group|project|programm?e?|society|lecture)\w*$")
 _UNIT_AFTER = re.compile(r"^ (?:Institute|Centre|Center|Prize|Award|Hall|Lecture|Fellowship|Library|Building|Chair|Foundation|School|Street|Road|Lab)\b")
 _AROUND = re.compile(r"\s*(?:\w+|[^\w\s])")
+_TOKEN = re.compile(r"\w+|[^\w\s]")
+_NEXT_TWO = re.compile(r"\s*(\w+|[^\w\s])(?:\s*(\w+|[^\w\s]))?")
 _WORD_CUT = re.compile(r"\w\w")
 _DIGITS = re.compile(r"\d+")
+_ARABIC = re.compile("[ء-ي]")
 _LOWER_WORD = re.compile(rf"(?<![\w.@+-])[{_LOW}]{{2,}}(?![\w.@+-])")
 
 _EMAIL = re.compile(r"[\w.+%-]*\w(?: ?@ ?| ?\[at\] ?| ?\(at\) ?| ?\{at\} ?)[A-Za-z0-9-]+(?:(?:\.| ?\[dot\] ?| ?\(dot\) ?| ?\{dot\} ?)[A-Za-z0-9-]+)+")
 _EMAIL_START = re.compile(r"(?<![\w.+%-])" + _EMAIL.pattern)
+_EMAIL_AT = re.compile(r"@|[\[({]at[\])}]")
+_EMAIL_HEAD = re.compile(r"[\w.+%-]+ ?$")
 _NUMBER = re.compile(
     r"[\d٠-٩+(A-Z](?:(?<![\w.,/+٠-٩-].)(?:(?<=\+)[\d٠-٩]|(?<=\()\+?[\d٠-٩]|(?<=[\d٠-٩]))(?:[\d٠-٩]|[ ()/-](?=[\d٠-٩( ])|\.(?=[\d٠-٩])){4,24}[\d٠-٩][A-Z]?(?:(?:,? ?(?:ext\.?|extension|x|Durchwahl|App\.|poste|extensión|تحويلة) ?)\d{1,5})?(?![\w])"
     r"|(?<=[A-Z])(?<![\w-].)[A-Z]?\d{6,9}(?![\w-]))"
 )
+#: What every such number holds, and not more than two characters after its start.
+_NUMBER_CORE = re.compile(r"\d[\d ()/.-]{4,24}\d")
 _ID_BEFORE = re.compile(
     r"(?:passport|identity card|national ID|Emirates ID|student|residence permit|social security|Pass|Ausweis|Personalausweis|passeport|identité|séjour|pasaporte|identidad|NIE|DNI|الهوية|السفر|الإقامة|الطالب)(?: ?(?:number|card|no\.|No\.|n°|nº|nummer|numéro|número|nr\.|#))?[ :]*$", re.I
 )
@@ -101,15 +109,30 @@ def _any_of(*parts: str) -> Callable[[str], object]:
     return lambda text: any(map(text.__contains__, parts))
 
 
-#: What a text must hold to be worth each address pattern.
-_ADDRESS_HINTS: list[Callable[[str], object]] = [
-    _any_of("Street", "Road", "Lane", "Row", "Court", "Close", "Avenue", "Way", "Crescent", "Hill", "Square", "Place", "Drive", "Walk", "Gate", "Mews", "Terrace", "St.", "Rd.", "Ave.", "Blvd."),
-    _any_of("District"),
-    _any_of("rue ", "avenue ", "impasse ", "boulevard ", "place ", "chemin ", "allée ", "quai ", "route ", "cours ", "square "),
-    _any_of("Calle", "Avenida", "Plaza", "Paseo", "Camino", "Ronda", "Travesía", "C/", "Avda.", "Pza."),
-    re.compile(r", \d{5} ").search,
-    _any_of("شارع"),
-]
+#: What a text must hold to be worth an address pattern; the ends of words for streets are found faster than the words, and postcodes with towns fastest of all.
+_STREET_END = re.compile(rf", (?<=(?:eet|oad|ane|Row|urt|ose|nue|Way|ent|ill|are|ace|ive|alk|ate|ews|St\.|Rd\.|ve\.|vd\.), )[{_UP}]")
+_STREET = _any_of(*(f"{w}, " for w in "Street Road Lane Row Court Close Avenue Way Crescent Hill Square Place Drive Walk Gate Mews Terrace St. Rd. Ave. Blvd.".split()))
+_CODE_AND_TOWN = re.compile(rf", \d{{5}} [{_UP}]")
+_RUE = _any_of("rue ", "avenue ", "impasse ", "boulevard ", "place ", "chemin ", "allée ", "quai ", "route ", "cours ", "square ")
+_CALLE = _any_of("Calle", "Avenida", "Plaza", "Paseo", "Camino", "Ronda", "Travesía", "C/", "Avda.", "Pza.")
+
+
+def _address_patterns(text: str) -> Iterator[re.Pattern]:
+    """Those of `_ADDRESSES` that may match."""
+    if _STREET_END.search(text) and _STREET(text):
+        yield _ADDRESSES[0]
+    if "District, " in text:
+        yield _ADDRESSES[1]
+    if _CODE_AND_TOWN.search(text):
+        if _RUE(text):
+            yield _ADDRESSES[2]
+        if _CALLE(text):
+            yield _ADDRESSES[3]
+        yield _ADDRESSES[4]
+    if "شارع" in text:
+        yield _ADDRESSES[5]
+
+
 _ADDRESS_BEFORE = re.compile(r"(?:lives at|moved to|address|domicilié au|domicilio en|wohnhaft|المقيم في|المقيمة في|zu) $")
 _POSTCODE = re.compile(r"\b\d{5}\b|\b[A-Z]{1,2}\d{1,2}[A-Z]? \d[A-Z]{2}\b|District|حي ")
 
@@ -131,7 +154,8 @@ _POWERS = 3 ** np.arange(len(LABELERS))
 PATTERNS = len(KINDS) * 4 * 3 ** len(LABELERS)
 #: Flags of a name-shaped span: listed given name, title before it, a unit's words after and before it, words that name units; the length comes on top.
 _LISTED, _TITLED, _UNIT_NEXT, _UNIT_LAST, _UNIT_FAMILY, _UNIT_GIVEN, _LENGTH = (1 << n for n in range(7))
-_FOUND = pa.struct([("first", pa.int32()), ("last", pa.int32()), ("marks", pa.int32()), ("given", pa.string()), ("family", pa.string()), ("before", pa.string()), ("after", pa.string())])
+_WORDS = ("given", "family", "before", "after")
+_FOUND = pa.struct([("first", pa.int32()), ("last", pa.int32()), ("marks", pa.int32()), *((c, pa.string()) for c in _WORDS)])
 
 
 def _plain(tokens: str) -> str:
@@ -177,6 +201,31 @@ class _Around:
         return " ".join(got[:2])
 
 
+def _search_arabic(text: str, around: _Around, listed: set[str], columns: tuple[list, ...], add: Callable[..., None], outside: Callable[[int, int], int]) -> None:
+    """Adds all windows of Arabic words: those after a run's first at once, where its words are tokens and each window has two tokens right before and right after it."""
+    tokens, starts, ends = around.tokens, around.starts, around.ends
+    pairs = [f"{one} {two}" for one, two in zip(tokens, tokens[1:])]
+    for m in _ARABIC_RUN.finditer(text):
+        first, last = bisect_left(starts, m.start()), bisect_left(starts, m.end()) - 1
+        rest = first + 1
+        if (
+            0 < first < last - 1 and last + 2 < len(starts) and starts[first] == m.start() and ends[last] == m.end()
+            and _ARABIC_PARTICLES.isdisjoint(tokens[rest:last]) and _TITLE_WORDS.isdisjoint(tokens[first : last - 1])
+            and max(map(sub, starts[rest:last], starts[rest - 2 : last - 2])) <= 40 and max(map(sub, starts[rest + 3 : last + 3], ends[rest + 1 : last + 1])) < 30
+        ):
+            start, stop = starts[first], ends[rest]
+            add(start, stop, outside(start, stop), tokens[first], tokens[rest], *around.both(start, stop))
+            begin, end, given = starts[rest:last], ends[rest + 1 : last + 1], tokens[rest:last]
+            marks = [-1 - _LENGTH * ((n > 8) + (n > 11) + (n > 20)) - (_LISTED if g in listed else 0) for n, g in zip(map(sub, end, begin), given)]
+            # within the run nothing Latin is near
+            marks[-1] -= outside(begin[-1], end[-1])
+            for column, more in zip(columns, (begin, end, marks, given, tokens[rest + 1 : last + 1], pairs[rest - 2 : last - 2], pairs[rest + 2 : last + 2])):
+                column += more
+        else:
+            for start, stop, one, two in _arabic_windows(m):
+                add(start, stop, outside(start, stop), one, two, *around.both(start, stop))
+
+
 def _last_two(got: list[str]) -> str:
     while len(got) > 1 and (got[-1] in _TITLE_WORDS or got[-1] == "." and got[-2] in _TITLE_WORDS):
         got.pop()  # a title says enough by itself
@@ -185,24 +234,37 @@ def _last_two(got: list[str]) -> str:
 
 def _beside(text: str, start: int, end: int) -> tuple[str, str]:
     """What `_Around.both` gives, for texts with few spans."""
-    at = max(0, start - 40)
-    got = _AROUND.findall(text, at, start)
-    if at and got and _WORD_CUT.match(text, at - 1):
-        del got[0]
-    before = _last_two(_plain("\n".join(map(str.lstrip, got[-3:]))).split("\n"))
-    one = _AROUND.match(text, end)
-    if one is None or one.end() - len(one.group().lstrip()) >= end + 30:
+    # mostly plain words between blanks
+    got = text[max(0, start - 40) : start].rsplit(" ", 3)
+    plain = len(got) == 4 and not got[3] and got[1].isalpha() and got[2].isalpha() and got[2].lower() not in _TITLE_WORDS
+    before = f"{got[1]} {got[2]}".lower() if plain else _right_before(text, start)
+    got = text[end : end + 30].split(" ", 3)
+    if len(got) == 4 and not got[0] and got[1].isalpha() and got[2].isalpha():
+        return before, f"{got[1]} {got[2]}".lower()
+    m = _NEXT_TWO.match(text, end)
+    if m is None or m.start(1) >= end + 30:
         return before, ""
-    two = _AROUND.match(text, one.end())
-    if two is None or two.end() - len(two.group().lstrip()) >= end + 30:
-        return before, _plain(one.group().lstrip())
-    return before, _plain(f"{one.group().lstrip()} {two.group().lstrip()}")
+    return before, _plain(f"{m[1]} {m[2]}" if m[2] and m.start(2) < end + 30 else m[1])
+
+
+def _right_before(text: str, start: int) -> str:
+    got = _TOKEN.findall(text, max(0, start - 24), start)
+    if len(got) < 4:
+        at = max(0, start - 40)
+        got = _TOKEN.findall(text, at, start)
+        if at and got and _WORD_CUT.match(text, at - 1):
+            del got[0]
+    return _last_two(_plain("\n".join(got[-3:])).split("\n"))
 
 
 def _name_windows(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, given, family) of all spans with the shape of a name."""
     out = []
     for m in _RUN.finditer(text):
+        if m.group().count(" ") == 1:
+            given, _, family = m.group().lower().partition(" ")
+            out.append((*m.span(), given, family))
+            continue
         words = [(w.start() + m.start(), w.end() + m.start(), w.group()) for w in _RUN_WORD.finditer(m.group())]
         caps = [n for n, w in enumerate(words) if w[2] not in _PARTICLES and not w[2].endswith(".")]
         for i, j in zip(caps, caps[1:]):
@@ -213,21 +275,18 @@ def _name_windows(text: str) -> list[tuple[int, int, str, str]]:
     return out
 
 
-def _arabic_windows(text: str) -> list[tuple[int, int, str, str]]:
-    """The same of Arabic words."""
-    out = []
-    for m in _ARABIC_RUN.finditer(text):
-        words = m.group().split(" ")
-        at = m.start()
-        for i, (given, family) in enumerate(zip(words, words[1:])):
-            following = at + len(given) + 1
-            end = following + len(family)
-            if family in _ARABIC_PARTICLES and i + 2 < len(words):
-                family = words[i + 2]
-                end += 1 + len(family)
-            out.append((at, end, given, family))
-            at = following
-    return out
+def _arabic_windows(run: re.Match) -> Iterator[tuple[int, int, str, str]]:
+    """The same of a run of Arabic words."""
+    words = run.group().split(" ")
+    at = run.start()
+    for i, (given, family) in enumerate(zip(words, words[1:])):
+        following = at + len(given) + 1
+        end = following + len(family)
+        if family in _ARABIC_PARTICLES and i + 2 < len(words):
+            family = words[i + 2]
+            end += 1 + len(family)
+        yield at, end, given, family
+        at = following
 
 
 class Names:
@@ -252,7 +311,7 @@ class Names:
         at = np.flatnonzero(pattern < 0)
         if len(at):
             marks = -1 - pattern[at]
-            given, family, before, after = (found.field(c).take(pa.array(at)) for c in ("given", "family", "before", "after"))
+            given, family, before, after = (found.field(c).take(pa.array(at)) for c in _WORDS)
             listed, titled = marks & _LISTED > 0, marks & _TITLED > 0
             common = _each(given, self.common.__contains__)
             ordinary = common | _each(family, self.common.__contains__)
@@ -290,12 +349,10 @@ def _of_pattern(pattern: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray
 def learned_names(texts: list[str], given: set[str] | None = None) -> Names:
     """`Names` of texts at hand; `_learned` is the same of a table."""
     listed = given if given is not None else GIVEN_NAMES | GIVEN_NAMES_AR
-    lower: Counter = Counter()
-    windows = []
-    for t in texts:
-        rows, words = pieces(t, listed)
-        lower.update(words)
-        windows += [(g, f, b, a, -1 - marks) for _, _, marks, g, f, b, a in rows if marks < 0]
+    found, tokens = searched(pa.array(texts, pa.string()), listed)
+    lower = _lower_words(tokens)
+    marks, *words = (found.values.field(c).to_pylist() for c in ("marks", *_WORDS))
+    windows = [(*w, -1 - m) for m, *w in zip(marks, *words) if m < 0]
     first, second = Counter(w[0] for w in windows), Counter(w[1] for w in windows)
     common = {w for w, n in lower.items() if (u := first[w] + second[w]) and n >= COMMON_COUNT and n >= COMMON_SHARE * u}
     cues = []
@@ -331,29 +388,82 @@ def _companions(pairs: list[tuple[str, str, bool]], uses: Counter) -> set[str]:
 
 
 def _emails(text: str) -> Iterator[re.Match]:
-    """Matches of `_EMAIL`; a try at each letter of each word would cost more than all else."""
+    """Matches of `_EMAIL`, which can begin only with the word before a sign for "at", or right after another match."""
     at = 0
-    while m := _EMAIL.match(text, at) or _EMAIL_START.search(text, at):
-        yield m
-        at = m.end()
+    while sign := _EMAIL_AT.search(text, at):
+        near = max(at, sign.start() - 80)
+        m = None
+        if head := _EMAIL_HEAD.search(text, near, sign.start()):
+            if head.start() > near or near == at:
+                m = _EMAIL.match(text, head.start())
+            else:
+                m = _EMAIL.match(text, at) or _EMAIL_START.search(text, at)
+        if m:
+            yield m
+        at = (m or sign).end()
 
 
 def _has_arabic(text: str) -> bool:
-    return re.search("[ء-ي]", text) is not None
+    return not text.isascii() and _ARABIC.search(text) is not None
 
 
-def pieces(text: str, listed: set[str]) -> tuple[list[tuple[int, int, int, str | None, str | None, str | None, str | None]], list[str]]:
-    """All spans that may be personal, and the words in lower case; spans may overlap, and may go over a line's end.
+def searched(texts: pa.Array, listed: set[str]) -> tuple[pa.ListArray, Counter]:
+    """Of each text all spans that may be personal, as a list of `_FOUND`, and how often each run of characters without blanks occurs.
 
-    A span is (start, end, marks, given, family, before, after). Marks are its pattern; of names, whose votes rest on what the corpus teaches, they are -1 less the flags `_LISTED` and so on.
+    Spans may overlap, and may go over a line's end. Marks are a span's pattern; of names, whose votes rest on what the corpus teaches, they are -1 less the flags `_LISTED` and so on.
     """
-    found: list[tuple[int, int, str, tuple[int, ...], int]] = []
+    columns: tuple[list, ...] = tuple([] for _ in _FOUND)
+    ends = [0]
+    for t in texts.to_pylist():
+        if t:
+            _search(t, listed, columns)
+        ends.append(len(columns[0]))
+    values = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _FOUND)], fields=list(_FOUND))
+    tokens = pc.ascii_split_whitespace(texts).flatten().value_counts()
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values), Counter(dict(zip(*(tokens.field(c).to_pylist() for c in ("values", "counts")))))
+
+
+def _lower_words(tokens: Counter) -> Counter:
+    """How often each word in lower case occurs; none goes over a blank, so that each distinct token is looked at once."""
+    words: Counter = Counter()
+    for token, n in tokens.items():
+        for w in _LOWER_WORD.findall(token):
+            words[w] += n
+    return words
+
+
+def _search(text: str, listed: set[str], columns: tuple[list, ...]) -> None:
     text = _WRAP.sub(" ", text)
+    add_first, add_last, add_marks, add_given, add_family, add_before, add_after = (c.append for c in columns)
+
+    def add(start: int, end: int, kind: str, votes: tuple[int, ...], n: int) -> None:
+        add_first(start), add_last(end), add_marks(_code(kind, votes, _length(n)))
+        add_given(""), add_family(""), add_before(""), add_after("")
+
+    def add_name(start: int, end: int, flags: int, given: str, family: str, before: str, after: str) -> None:
+        n = end - start
+        flags += _LENGTH * ((n > 8) + (n > 11) + (n > 20))
+        if given in listed or "-" in given and is_listed(given, listed):
+            flags += _LISTED
+        add_first(start), add_last(end), add_marks(-1 - flags)
+        add_given(given), add_family(family), add_before(before), add_after(after)
+
+    def outside(start: int, end: int) -> int:
+        """Flags of what stands right before and after; titles and words of units are Latin."""
+        flags = 0
+        if text[start - 1 : start] == " " and text[start - 2 : start - 1].isascii():
+            tail = text[max(0, start - 14) : start]
+            flags += _of_last(tail[tail.rfind(" ", 0, -1) + 1 :])
+        if text[end + 1 : end + 2].isascii() and _UNIT_AFTER.match(text[end : end + 14]):
+            flags += _UNIT_NEXT
+        return flags
+
     if "@" in text or "at]" in text or "at)" in text or "at}" in text:
         for m in _emails(text):
             plain = "@" in m.group()
-            found.append((m.start(), m.end(), "email", (1, 1 if plain else 0, 1 if re.search(r"(?:mailto:|at |to |à |a |an |من |[:,] )$", text[max(0, m.start() - 8) : m.start()]) else 0, 0, 0, 0), m.end() - m.start()))
-    for m in _NUMBER.finditer(text):
+            add(m.start(), m.end(), "email", (1, 1 if plain else 0, 1 if re.search(r"(?:mailto:|at |to |à |a |an |من |[:,] )$", text[max(0, m.start() - 8) : m.start()]) else 0, 0, 0, 0), m.end() - m.start())
+    core = _NUMBER_CORE.search(text)
+    for m in _NUMBER.finditer(text, max(0, core.start() - 2)) if core else ():
         value, start, end = m.group(), m.start(), m.end()
         if value[0] == "(" and ")" not in value:
             value, start = value[1:], start + 1
@@ -365,37 +475,22 @@ def pieces(text: str, listed: set[str]) -> tuple[list[tuple[int, int, int, str |
         labelled = bool(_ID_BEFORE.search(before))
         phone, number = bool(_PHONE_SHAPE.fullmatch(value)), bool(_ID_SHAPE.fullmatch(value))
         if not value[-1].isalpha() and not value[0].isalpha():
-            found.append((start, end, "phone", (1 if phone else -1, 1 if value[0] in "+(0٠" else 0, -1 if labelled else 1 if _PHONE_BEFORE.search(before) else 0, 0, other, 0), digits))
+            add(start, end, "phone", (1 if phone else -1, 1 if value[0] in "+(0٠" else 0, -1 if labelled else 1 if _PHONE_BEFORE.search(before) else 0, 0, other, 0), digits)
         if "ext" not in value:
-            found.append((start, end, "id_number", (1 if number else 0 if labelled else -1, 0, 1 if labelled else -1, 0, other, 0), digits))
-    for hint, pattern in zip(_ADDRESS_HINTS, _ADDRESSES):
-        if hint(text):
-            for m in pattern.finditer(text):
-                found.append((m.start(), m.end(), "address", (1, 1 if _POSTCODE.search(m.group()) else -1, 1 if _ADDRESS_BEFORE.search(text[max(0, m.start() - 70) : m.start()]) else 0, 0, 0, 0), m.end() - m.start()))
-    out = [(start, end, _code(kind, votes, _length(n)), None, None, None, None) for start, end, kind, votes, n in found]
+            add(start, end, "id_number", (1 if number else 0 if labelled else -1, 0, 1 if labelled else -1, 0, other, 0), digits)
+    for pattern in _address_patterns(text):
+        for m in pattern.finditer(text):
+            add(m.start(), m.end(), "address", (1, 1 if _POSTCODE.search(m.group()) else -1, 1 if _ADDRESS_BEFORE.search(text[max(0, m.start() - 70) : m.start()]) else 0, 0, 0, 0), m.end() - m.start())
+
     windows = _name_windows(text)
-    beside = partial(_beside, text)
-    if _has_arabic(text):
-        windows += _arabic_windows(text)
-        beside = _Around(text).both
-    if windows:
+    if not _has_arabic(text):
         for start, end, given, family in windows:
-            n = end - start
-            flags = _LENGTH * ((n > 8) + (n > 11) + (n > 20))
-            if given in listed or "-" in given and is_listed(given, listed):
-                flags += _LISTED
-            if given < "ء":
-                flags += _of_words(given, family)
-            # titles and words of units are Latin
-            if text[start - 1 : start] == " " and text[start - 2 : start - 1].isascii():
-                if _TITLE.search(text[max(0, start - 30) : start]):
-                    flags += _TITLED
-                if _UNIT_BEFORE.search(text[max(0, start - 14) : start]):
-                    flags += _UNIT_LAST
-            if text[end + 1 : end + 2].isascii() and _UNIT_AFTER.match(text[end : end + 14]):
-                flags += _UNIT_NEXT
-            out.append((start, end, -1 - flags, given, family, *beside(start, end)))
-    return out, _LOWER_WORD.findall(text)
+            add_name(start, end, outside(start, end) + _of_words(given, family), given, family, *_beside(text, start, end))
+        return
+    around = _Around(text)
+    for start, end, given, family in windows:
+        add_name(start, end, outside(start, end) + _of_words(given, family), given, family, *around.both(start, end))
+    _search_arabic(text, around, listed, columns, add_name, outside)
 
 
 @lru_cache(4096)
@@ -412,6 +507,12 @@ def _of_words(given: str, family: str) -> int:
     return (_UNIT_GIVEN if _UNIT_WORD.match(given) else 0) + (_UNIT_FAMILY if _UNIT_WORD.match(family) else 0)
 
 
+@lru_cache(65_536)
+def _of_last(word: str) -> int:
+    """Flags of the word, with the blank after it, that stands before a span."""
+    return (_TITLED if _TITLE.search(word) else 0) + (_UNIT_LAST if _UNIT_BEFORE.search(word) else 0)
+
+
 def reliabilities(votes: np.ndarray, rounds: int = 30, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, float]:
     """(posterior of each row, how often each labeler is right, share of true rows), by expectation-maximisation; a row stands for `times` equal ones."""
     times = np.ones(len(votes)) if times is None else times
@@ -440,11 +541,8 @@ class Model:
 
     def __init__(self, texts: list[str], given: set[str] | None = None):
         names = learned_names(texts, given)
-        seen: Counter = Counter()
-        for t in texts:
-            pattern, train, _ = names.patterns(_table([pieces(t, names.listed)[0]]).values)
-            seen.update(pattern[train].tolist())
-        self._fit(names, seen)
+        pattern, train, _ = names.patterns(searched(pa.array(texts, pa.string()), names.listed)[0].values)
+        self._fit(names, Counter(pattern[train].tolist()))
 
     @classmethod
     def of(cls, names: Names, seen: dict[int, int]) -> Model:
@@ -476,7 +574,7 @@ class Model:
 
     def spans(self, text: str | None) -> list[tuple[int, int, str, float]]:
         """Accepted spans in order, without overlaps: the more probable, then the longer, wins."""
-        return self.chosen(_table([pieces(text, self.names.listed)[0] if text else []]))[0]
+        return self.chosen(searched(pa.array([text], pa.string()), self.names.listed)[0])[0]
 
     def chosen(self, found: pa.ListArray) -> list[list[tuple[int, int, str, float]]]:
         """The same for the candidates of each of many texts."""
@@ -510,52 +608,78 @@ def masked(text: str, spans: list[tuple[int, int, str, float]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def _table(rows: list[list[tuple]]) -> pa.ListArray:
-    """Candidates of texts as lists of `_FOUND`."""
-    flat = [c for r in rows for c in r]
-    columns = zip(*flat) if flat else [()] * len(_FOUND)
-    values = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _FOUND)], fields=list(_FOUND))
-    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, rows)]), pa.int32()), values)
+#: Candidates of a text on their way through Spark: numbers as bytes, and words a line each, as a row of the JVM for each candidate costs more than the search.
+_PACKED = pa.struct([("spots", pa.binary()), *((c, pa.string()) for c in _WORDS)])
+_TALLY = pa.struct([("part", pa.string()), ("value", pa.string()), ("mine", pa.int64()), ("other", pa.int64())])
+
+
+def _packed(found: pa.ListArray) -> pa.StructArray:
+    flat, ends = found.values, found.offsets
+    spots = np.stack([flat.field(c).to_numpy() for c in ("first", "last", "marks")], axis=1).astype("<i4")
+    numbers = pa.Array.from_buffers(pa.binary(), len(found), [None, pa.py_buffer(ends.to_numpy() * np.int32(12)), pa.py_buffer(spots.tobytes())])
+    return pa.StructArray.from_arrays([numbers, *(pc.binary_join(pa.ListArray.from_arrays(ends, flat.field(c)), "\n") for c in _WORDS)], fields=list(_PACKED))
+
 
+def _unpacked(packed: pa.StructArray) -> pa.ListArray:
+    numbers = packed.field("spots").cast(pa.binary())
+    ends = np.cumsum([0, *pc.binary_length(numbers).to_pylist()]) // 4
+    spots = np.frombuffer(b"".join(numbers.to_pylist()), "<i4").reshape(-1, 3)
+    some = pa.array(np.diff(ends) > 0)
+    words = [pc.split_pattern(packed.field(c).cast(pa.string()).filter(some), "\n").flatten() for c in _WORDS]
+    values = pa.StructArray.from_arrays([*(pa.array(np.ascontiguousarray(spots[:, k]), pa.int32()) for k in range(3)), *words], fields=list(_FOUND))
+    return pa.ListArray.from_arrays(pa.array(ends // 3, pa.int32()), values)
 
-#: Texts whose candidates are held at once, and distinct words.
+
+def _tallied(found: pa.StructArray) -> Iterator[pa.StructArray]:
+    """How often each word and context of the name-shaped spans occurs, with and without a listed given name."""
+    flags = -1 - found.field("marks").to_numpy()
+    names = flags >= 0
+    mine = flags[names] & _LISTED > 0
+    for part in _WORDS:
+        coded = found.field(part).filter(pa.array(names)).dictionary_encode()
+        code, n = coded.indices.to_numpy(), len(coded.dictionary)
+        counts = (pa.array(np.bincount(code[of], minlength=n)) for of in (mine, ~mine))
+        yield pa.StructArray.from_arrays([pa.array([part] * n, pa.string()), coded.dictionary, *counts], fields=list(_TALLY))
+
+
+#: Texts whose candidates are held at once, and distinct tokens.
 _AT_ONCE = 1_000
-_WORDS_AT_ONCE = 200_000
+_TOKENS_AT_ONCE = 200_000
 
 
 def _searched(documents: DataFrame, key: str, text: str, listed: set[str]) -> DataFrame:
-    """(key, text, found, words), kept in the checkpoint folder: a row for each document with its candidates, and rows with nothing but counts of words in lower case."""
+    """(key, text, found, tally), kept in the checkpoint folder: a row for each document with its candidates, and rows with nothing but a tally (`_tallied`, or of a word in lower case)."""
     spark = documents.sparkSession
     kind = documents.schema[key].dataType
-    names = [key, text, "found", "words"]
+    names = [key, text, "found", "tally"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         keys = None
-        words_of = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
 
-        def tallied() -> pa.RecordBatch:
-            words = pa.array([[{"word": w, "n": n} for w, n in counts.items()]], words_of)
+        def tally(of: pa.StructArray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.nulls(len(of), keys), pa.nulls(len(of), pa.string()), pa.nulls(len(of), _PACKED), of], names)
+
+        def lower() -> pa.RecordBatch:
+            words = _lower_words(counts)
             counts.clear()
-            return pa.RecordBatch.from_arrays([pa.nulls(1, keys), pa.nulls(1, pa.string()), pa.nulls(1, pa.list_(_FOUND)), words], names)
+            n = len(words)
+            return tally(pa.StructArray.from_arrays([pa.array(["lower"] * n, pa.string()), pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64()), pa.array([0] * n, pa.int64())], fields=list(_TALLY)))
 
         for whole in batches:
             for at in range(0, whole.num_rows, _AT_ONCE):
                 batch = whole.slice(at, _AT_ONCE)
                 keys = batch.column(0).type
-                rows = []
-                for t in batch.column(1).to_pylist():
-                    found, words = pieces(t, listed) if t else ([], [])
-                    rows.append(found)
-                    counts.update(words)
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).cast(pa.string()), _table(rows), pa.nulls(len(batch), words_of)], names)
-                if len(counts) > _WORDS_AT_ONCE:
-                    yield tallied()
+                found, tokens = searched(batch.column(1), listed)
+                counts.update(tokens)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).cast(pa.string()), _packed(found), pa.nulls(len(batch), _TALLY)], names)
+                yield from map(tally, _tallied(found.values))
+                if len(counts) > _TOKENS_AT_ONCE:
+                    yield lower()
         if counts:
-            yield tallied()
+            yield lower()
 
-    struct = "array<struct<first: int, last: int, marks: int, given: string, family: string, before: string, after: string>>"
-    schema = f"`{key}` {kind.simpleString()}, `{text}` string, found {struct}, words array<struct<word: string, n: bigint>>"
+    schema = f"`{key}` {kind.simpleString()}, `{text}` string, found struct<spots: binary, given: string, family: string, before: string, after: string>, tally struct<part: string, value: string, mine: bigint, other: bigint>"
     at = f"{ensure_checkpoint_dir(spark)}/candidates-{uuid.uuid4().hex}"
     documents.select(key, text).mapInArrow(run, schema).write.parquet(at)
     return spark.read.schema(schema).parquet(at)
@@ -564,18 +688,10 @@ def _searched(documents: DataFrame, key: str, text: str, listed: set[str]) -> Da
 def _learned(searched: DataFrame, listed: set[str]) -> Names:
     """`learned_names` of all documents of a table; the driver gets only what is learned."""
     spark = searched.sparkSession
-    windows = searched.select(F.explode("found").alias("c")).select("c.*").where("marks < 0").withColumn("flags", -1 - F.col("marks"))
-    has = lambda flag: F.col("flags").bitwiseAND(flag) > 0
-
-    # how often each word and context occurs, with and without a listed given name
-    parts = F.explode(F.array(*(F.struct(F.lit(c).alias("part"), F.col(c).alias("value")) for c in ("given", "family", "before", "after"))))
-    tallies = durable(
-        windows.select(has(_LISTED).alias("mine"), parts.alias("p")).groupBy("p.part", "p.value")
-        .agg(F.count(F.when(F.col("mine"), 1)).alias("mine"), F.count(F.when(~F.col("mine"), 1)).alias("other"))
-    )
+    tallies = durable(searched.where("tally is not null").groupBy("tally.part", "tally.value").agg(F.sum("tally.mine").alias("mine"), F.sum("tally.other").alias("other")))
     uses = lambda *columns: tallies.where(F.col("part").isin(*columns)).groupBy(F.col("value").alias("word")).agg(F.sum(F.col("mine") + F.col("other")).alias("uses"))
 
-    lower = searched.select(F.explode("words").alias("w")).groupBy("w.word").agg(F.sum("w.n").alias("n")).where(F.col("n") >= COMMON_COUNT)
+    lower = tallies.where("part = 'lower'").select(F.col("value").alias("word"), F.col("mine").alias("n")).where(F.col("n") >= COMMON_COUNT)
     common = {r.word for r in lower.join(uses("given", "family"), "word").where(F.col("n") >= COMMON_SHARE * F.col("uses")).select("word").collect()}
 
     totals = tallies.where("part = 'given'").agg(F.sum("mine").alias("names"), F.sum("other").alias("rest")).first()
@@ -589,26 +705,27 @@ def _learned(searched: DataFrame, listed: set[str]) -> Names:
 
     taught = Names(listed, common, cues("before", -1), cues("after", 1), set(), set())
 
-    def companions(of: DataFrame, word: str, beside: str) -> set[str]:
+    def companions(word: str, beside: str, wanted: Callable[[np.ndarray, pa.Array, Names], np.ndarray]) -> set[str]:
         shared = spark.sparkContext.broadcast(taught)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                given, family, before, after = batch.columns
+                found = _unpacked(batch.column(0)).values
+                flags, family = -1 - found.field("marks").to_numpy(), found.field("family")
+                kept = found.filter(pa.array((flags >= 0) & (flags & _UNIT_FAMILY == 0) & wanted(flags, family, shared.value)))
                 ordinary = shared.value.common.__contains__
-                kept = batch.filter(pa.array(~(_each(given, ordinary) | _each(family, ordinary))))
-                cue, after_cue = shared.value.cued(kept.column(2), kept.column(3))
-                yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1), pa.array(cue | after_cue)], ["given", "family", "cue"])
+                kept = kept.filter(pa.array(~(_each(kept.field("given"), ordinary) | _each(kept.field("family"), ordinary))))
+                cue, after_cue = shared.value.cued(kept.field("before"), kept.field("after"))
+                yield pa.RecordBatch.from_arrays([kept.field("given"), kept.field("family"), pa.array(cue | after_cue)], ["given", "family", "cue"])
 
-        pairs = of.where(~has(_UNIT_FAMILY)).select("given", "family", "before", "after").mapInArrow(run, "given string, family string, cue boolean")
+        pairs = searched.where("tally is null").select("found").mapInArrow(run, "given string, family string, cue boolean")
         pairs = pairs.groupBy(F.col(word).alias("word"), beside).agg(F.count(F.lit(1)).alias("n"), F.max(F.col("cue").cast("int")).alias("cue"))
         learned = pairs.groupBy("word").agg(F.sum("n").alias("n"), (F.count(F.lit(1)) + F.max("cue")).alias("beside")).where(F.col("beside") >= 2)
         return {r.word for r in learned.join(uses(word), "word").where(F.col("n") >= NAME_SHARE * F.col("uses")).select("word").collect()}
 
-    taught.families = companions(windows.where(has(_LISTED)), "family", "given")
+    taught.families = companions("family", "given", lambda flags, family, names: flags & _LISTED > 0)
     if taught.families:
-        families = spark.createDataFrame([(f,) for f in sorted(taught.families)], "family string")
-        taught.givens = companions(windows.where(~has(_UNIT_GIVEN)).join(F.broadcast(families), "family"), "given", "family")
+        taught.givens = companions("given", "family", lambda flags, family, names: (flags & _UNIT_GIVEN == 0) & _each(family, names.families.__contains__))
     return taught
 
 
@@ -619,12 +736,12 @@ def _trained(searched: DataFrame, listed: set[str]) -> Model:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         times = np.zeros(PATTERNS, np.int64)
         for batch in batches:
-            pattern, train, _ = shared.value.patterns(batch.column(0).flatten())
+            pattern, train, _ = shared.value.patterns(_unpacked(batch.column(0)).values)
             times += np.bincount(pattern[train], minlength=PATTERNS)
         at = np.flatnonzero(times)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(times[at])], ["pattern", "n"])
 
-    counts = searched.where("words is null").select("found").mapInArrow(run, "pattern bigint, n bigint").groupBy("pattern").agg(F.sum("n").alias("n"))
+    counts = searched.where("tally is null").select("found").mapInArrow(run, "pattern bigint, n bigint").groupBy("pattern").agg(F.sum("n").alias("n"))
     return Model.of(names, {r.pattern: r.n for r in counts.collect()})
 
 
@@ -639,7 +756,7 @@ def _decided(documents: DataFrame, key: str, text: str) -> tuple[DataFrame, Call
     listed = GIVEN_NAMES | GIVEN_NAMES_AR
     searched = _searched(documents, key, text, listed)
     shared = documents.sparkSession.sparkContext.broadcast(_trained(searched, listed))
-    return searched.where("words is null").select(key, text, "found"), lambda batch: shared.value.chosen(batch.column(2))
+    return searched.where("tally is null").select(key, text, "found"), lambda batch: shared.value.chosen(_unpacked(batch.column(2)))
 
 
 def personal_spans(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

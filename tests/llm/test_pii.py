@@ -100,3 +100,51 @@ def test_equal_rows_count_as_often_as_they_stand():
     times = np.array([5, 2, 9])
     one, many = P.reliabilities(votes, times=times.astype(float)), P.reliabilities(np.repeat(votes, times, axis=0))
     assert np.allclose(one[1], many[1]) and np.isclose(one[2], many[2])
+
+
+def test_search_makes_few_calls(model):
+    """The search of texts is most of the work of p10_found. Calls are counted instead of seconds, which depend on the machine."""
+    import sys
+
+    def calls(text: str) -> float:
+        model.spans(text)
+        n = 0
+
+        def count(frame, event, arg):
+            nonlocal n
+            n += event in ("call", "c_call")
+
+        sys.setprofile(count)
+        try:
+            model.spans(text)
+        finally:
+            sys.setprofile(None)
+        return n / len(text.split())
+
+    latin = "In the summer the readers of the old survey met Marta Fynsen near the harbour and wrote down what they saw, then Course Notes of the week were sent. "
+    arabic = "قدم الطالب الجديد طلبا إلى القسم المختص في بداية الفصل الدراسي الثاني من العام. "
+    got = calls(latin * 20), calls(arabic * 20)
+    assert got[0] < 4.3 and got[1] < 9, got
+
+
+def test_runs_of_arabic_words():
+    """Windows taken a run at once are what each window by itself gives: particles, titles, wide gaps, a text's ends, words that are no whole token."""
+    run = "قدم الطالب كريم بن فلور طلبا إلى السيد طارق في القسم"
+    listed = P.GIVEN_NAMES | P.GIVEN_NAMES_AR
+    texts = [run, f"{run}.", f". {run}. {run} {run}؛ x", f"Dr. {run} Institute of {run}", f"a{' ' * 50}{run}{' ' * 50}b c", f"a b{' ' * 38}{run}\n\n{run}3 ٤{run}x {run}ً", "ب" * 60 + f" {run} " + "ت" * 60 + f" ث {run} ج 12 د"]
+    for text in texts:
+        found = [tuple(c.values()) for c in P.searched(P.pa.array([text]), listed)[0].values.to_pylist()]
+        around = P._Around(text)
+        want = [(start, end, given, family, *around.both(start, end)) for m in P._ARABIC_RUN.finditer(text) for start, end, given, family in P._arabic_windows(m)]
+        assert [(f[0], f[1], *f[3:]) for f in found if f[3] and f[3][0] >= "ء"] == want, text
+        assert all(((-1 - f[2]) & P._LISTED > 0) == (f[3] in listed) for f in found if f[2] < 0)
+
+
+def test_candidates_survive_packing():
+    found, tokens = P.searched(P.pa.array([None, "", *[t for t, _ in CASES], "no span here", None]), P.GIVEN_NAMES | P.GIVEN_NAMES_AR)
+    packed = P._packed(found)
+    assert P._unpacked(packed).equals(found)
+    for first, n in ((0, 2), (2, 5), (len(found) - 2, 2), (0, 0)):
+        assert P._unpacked(packed.slice(first, n)).to_pylist() == found.slice(first, n).to_pylist()
+    words = P._lower_words(tokens)
+    assert words["questions"] == 1 and "fynsen" not in words
